@@ -21,12 +21,39 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.query(table(spark, sf_dir, "pages"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import mixing
+
+    return mixing.query(table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import packing
+
+    return packing.query(table(spark, sf_dir, "documents"))
+
+
+def op7_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import sharding
+
+    return sharding.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_source_mixing": op2_source_mixing,
         "op3_language_id": op3_language_id,
         "op4_main_text": op4_main_text,
+        "op5_packing": op5_packing,
+        "op7_shard_placement": op7_shard_placement,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from loomspan.llm import mixing, packing, sharding
+
+    return {
+        "op2_source_mixing": mixing.oracle(),
+        "op5_packing": packing.oracle(),
+        "op7_shard_placement": sharding.oracle(),
+    }
