@@ -39,6 +39,12 @@ def op7_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.query(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import linedup
+
+    return linedup.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_source_mixing": op2_source_mixing,
@@ -46,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_main_text": op4_main_text,
         "op5_packing": op5_packing,
         "op7_shard_placement": op7_shard_placement,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 
