@@ -33,6 +33,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import neardup
+
+    return neardup.query(table(spark, sf_dir, "documents"))
+
+
 def op7_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomspan.llm import sharding
 
@@ -51,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_main_text": op4_main_text,
         "op5_packing": op5_packing,
+        "op6_near_duplicates": op6_near_duplicates,
         "op7_shard_placement": op7_shard_placement,
         "op9_line_dedup": op9_line_dedup,
     }
