@@ -45,6 +45,12 @@ def op7_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.query(table(spark, sf_dir, "documents"))
 
 
+def op8_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import vecdup
+
+    return vecdup.query(table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomspan.llm import linedup
 
@@ -59,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_near_duplicates": op6_near_duplicates,
         "op7_shard_placement": op7_shard_placement,
+        "op8_vector_duplicates": op8_vector_duplicates,
         "op9_line_dedup": op9_line_dedup,
     }
 
