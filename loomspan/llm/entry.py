@@ -21,6 +21,12 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.query(table(spark, sf_dir, "pages"))
 
 
+def op1_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import chroma
+
+    return chroma.query(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomspan.llm import mixing
 
@@ -57,8 +63,21 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.query(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomspan.llm import suffixlm
+
+    return suffixlm.query(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_audio_fingerprints": op1_audio_fingerprints,
         "op2_source_mixing": op2_source_mixing,
         "op3_language_id": op3_language_id,
         "op4_main_text": op4_main_text,
@@ -67,6 +86,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_shard_placement": op7_shard_placement,
         "op8_vector_duplicates": op8_vector_duplicates,
         "op9_line_dedup": op9_line_dedup,
+        "op10_suffix_scores": op10_suffix_scores,
+        "pipeline": pipeline,
     }
 
 
