@@ -58,6 +58,24 @@ def ask_about_pairs(pairs: DataFrame, model: Model) -> DataFrame:
     return pairs.select("clean_a", "clean_b").mapInPandas(run, "clean_a string, clean_b string, reply string")
 
 
+def ask(prompt: Column, system: str, model: Model) -> Column:
+    """The model's reply to each prompt; null for a null prompt or a failing model."""
+
+    @F.pandas_udf("string")
+    def run(prompts: pd.Series) -> pd.Series:
+        def one(text):
+            if text is None:
+                return None
+            try:
+                return model(system, text)
+            except Exception:  # noqa: BLE001  an unanswered prompt stays empty
+                return None
+
+        return prompts.map(one)
+
+    return run(prompt)
+
+
 def _between(col: Column, low: int, high: int) -> Column:
     return F.when(F.length(col).between(low, high), col)
 
@@ -91,6 +109,26 @@ def news_summary(reply: Column) -> Column:
     return _between(F.from_json(text.reply_json(reply), "summary string")["summary"], 20, 500)
 
 
+def extract_hiring(posts: DataFrame, html: str, model: Model) -> DataFrame:
+    """posts with ``job``: the checked extraction from the chunked comment, null where there is none."""
+    asked = posts.withColumn("_reply", ask(text.chunk_comment(F.col(html)), "Extract company, title, location, is_remote and role_family as a JSON object.", model))
+    return asked.withColumn("job", hiring_extraction(F.col("_reply"))).drop("_reply")
+
+
+def summarise_news(items: DataFrame, body: str, title: str, model: Model) -> DataFrame:
+    """items with ``model_summary`` of the chunked article, null where there is none."""
+    asked = items.withColumn("_reply", ask(text.chunk_article(F.col(body), F.col(title)), "Summarise the article in a JSON object with one field, summary.", model))
+    return asked.withColumn("model_summary", news_summary(F.col("_reply"))).drop("_reply")
+
+
+def fill_field(rows: DataFrame, field: str, html: str, model: Model) -> DataFrame:
+    """rows with the field's nulls filled from the chunked page where the model's checked reply has a value."""
+    prompt = F.when(F.col(field).isNull(), text.chunk_html(F.col(html)))
+    asked = rows.withColumn("_reply", ask(prompt, f"Find {field}. Answer with a JSON object with one field, {field}; null if it is not stated.", model))
+    found = field_value(F.col("_reply"), field).try_cast(dict(rows.dtypes)[field])
+    return asked.withColumn(field, F.coalesce(F.col(field), found)).drop("_reply")
+
+
 def field_value(reply: Column, field: str) -> Column:
     """One checked field of a reply, as text: employee_count, pricing_model, role_family, title or author."""
     value = F.from_json(text.reply_json(reply), f"{field} string")[field]

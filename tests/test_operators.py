@@ -147,6 +147,31 @@ def test_checked_replies(spark):
     assert [r[0] and r[0]["company"] for r in rows.select(arbiter.hiring_extraction(F.col("r"))).collect()] == ["Acme", None, None]
 
 
+def test_extractions(spark):
+    rows = spark.createDataFrame([("<p>team of 12</p>" + "x" * 30, None), ("y" * 40, 5), (None, None)], "html string, employee_count int")
+    got = arbiter.fill_field(rows, "employee_count", "html", lambda s, u: '{"employee_count": 12}').collect()
+    assert [r.employee_count for r in got] == [12, 5, None]
+    news = spark.createDataFrame([("b" * 50, "t")], "body string, title string")
+    assert arbiter.summarise_news(news, "body", "title", lambda s, u: '{"summary": "short"}').first().model_summary is None
+    assert arbiter.summarise_news(news, "body", "title", lambda s, u: '{"summary": "' + "s" * 30 + '"}').first().model_summary == "s" * 30
+    assert arbiter.extract_hiring(rows, "html", lambda s, u: '{"company": "Acme"}').first().job.company == "Acme"
+
+
+def test_article_fallback(spark):
+    items = spark.createDataFrame([("u1", "T", "s"), ("u2", "T", ""), ("u3", "T", "s")], "url string, title string, summary string")
+    body = "<article><p>" + "x" * 120 + "</p></article>"
+    pages = spark.createDataFrame([("u1", body), ("u2", "<article><p>short</p></article>")], "url string, html string")
+    got = {r.url: (r.full_text, r.content_type) for r in captures.with_article(items, pages, "wired").collect()}
+    assert got == {"u1": ("x" * 120, "FULL_TEXT"), "u2": ("T", "SUMMARY"), "u3": ("s", "SUMMARY")}
+
+
+def test_directory_and_products(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"hits": [{"name": " A ", "slug": "a", "team_size": "11-50", "status": "Active"}, {"name": "B", "slug": "b", "status": "Inactive"}, {"name": "C", "slug": "", "status": "Active"}]}))
+    assert [(r.entity_name, r.employee_count) for r in captures.directory_startups(spark, str(tmp_path / "c.json")).collect()] == [("A", 50)]
+    pages = spark.createDataFrame([("notion", "<title>Notion reviews.</title><div><span>Pricing:</span><a>Freemium</a></div>"), ("none", "<p>x</p>")], "slug string, html string")
+    assert [(r.startup_name, r.pricing_model, r.source_url) for r in captures.products(pages).collect()] == [("Notion", "FREEMIUM", "https://www.saashub.com/notion")]
+
+
 def test_boards(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps([{"legal": "x"}, {"position": "ML Engineer", "company": "A", "url": "u", "epoch": 5, "tags": ["x"], "description": "<p>a</p>"}, {"position": "None", "company": "", "url": "u2"}]))
     got = captures.board_jobs(spark, str(tmp_path / "r.json"), "remoteok").collect()
