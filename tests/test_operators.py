@@ -189,6 +189,29 @@ def test_feeds(spark, tmp_path):
     assert [(r.title, r.author, r.summary) for r in got] == [("AI news", "MIT News Office", "s")]
 
 
+def test_registry(tmp_path):
+    from loomspan.sources import config
+
+    assert config.enabled_sources({"sources": {"a": {"enabled": False}, "b": {}, "c": None, "d": {"enabled": True}}}) == ["b", "c", "d"]
+    assert config.enabled_sources({}) == []
+    assert web.id_urls("http://x/", 5, 3) == ["http://x/5", "http://x/4", "http://x/3"]
+
+
+def test_export_tabs(spark, tmp_path):
+    rows = spark.createDataFrame([(2, None, None, None, "u", "n" * 3, None, None)], "id long, schema_version string, record_type string, source_name string, source_url string, entity_name string, employee_count int, collected_at timestamp")
+    export.write_tabs({"startups": rows}, str(tmp_path / "out"))
+    got = spark.read.csv(str(tmp_path / "out" / "startups"), header=True).collect()
+    assert [(r["schemaVersion"], r["recordType"], r["content.entityName"], r["content.data.employeeCount"]) for r in got] == [("1.0", "STARTUP", "nnn", None)]
+    with pytest.raises(ValueError):
+        export.tab(rows, "nothing")
+
+
+def test_comments(spark):
+    rows = spark.createDataFrame([(1, "Acme | Senior Engineer | Remote &amp; more<p>We sell."), (2, "no pipe here at all"), (3, "Hello | x | y<p>z")], "i int, comment_text string")
+    got = captures.parse_comments(rows).collect()
+    assert [(r.i, r.company, r.title, r.is_remote, r.role_family, r.description) for r in got] == [(1, "Acme", "Senior Engineer", True, "Engineering", "Acme | Senior Engineer | Remote & more\nWe sell.")]
+
+
 def test_web_source(spark):
     import http.server
     import threading
@@ -213,6 +236,8 @@ def test_web_source(spark):
     base = f"http://127.0.0.1:{server.server_port}"
     reader = web.WebReader({"urls": f"{base}/ok {base}/flaky {base}/gone", "pause": "0"})
     rows = [r for p in reader.partitions() for r in reader.read(p)]
+    spark.dataSource.register(web.WebSource)
+    assert [(r.status, r.body) for r in spark.read.format("web").option("urls", f"{base}/ok").load().collect()] == [(200, "body")]
     server.shutdown()
     assert [r[1:] for r in rows] == [(200, "body"), (200, "body"), (404, None)]
     pages = [{"body": b} for b in ("x", None, None, "y", None, None, None, "z")]
