@@ -32,6 +32,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self._n = 0
+        self._kept: list[DataFrame] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write df once and return it read back."""
@@ -40,8 +41,21 @@ class Scratch:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path  # noqa: SLF001
+        self._kept.append(out)
         return out
 
+    def mark(self) -> int:
+        """A point to go back to with drop_since."""
+        return len(self._kept)
+
+    def drop_since(self, mark: int, *but: DataFrame) -> None:
+        """Remove the tables kept since the mark, except those given: for when no plan that is still to run reads them."""
+        paths = {getattr(x, "_scratch_path", None) for x in but}
+        for df in self._kept[mark:]:
+            if df._scratch_path not in paths:  # noqa: SLF001
+                self.drop(df)
+        self._kept[mark:] = [x for x in self._kept[mark:] if x._scratch_path in paths]  # noqa: SLF001
+
     def drop(self, df: DataFrame) -> None:
         path = getattr(df, "_scratch_path", None)
         if path:
