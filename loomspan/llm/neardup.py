@@ -4,8 +4,10 @@ Every text's set of word shingles gets MinHash samples. Bands of samples find
 candidates. An odd sketch, the samples folded into a bitmap whose bits hold the
 parity of how many samples fell on them, tells from the number of ones in the XOR
 of two sketches how many samples differ, precisely so for high similarity; pairs
-whose estimate is far below the threshold are dropped, and the others are
-confirmed on their full shingle sets.
+whose estimate is far below the threshold are dropped. A second odd sketch folds
+the whole set: the ones in the XOR of two of these never exceed the elements in
+which the sets differ, which rules pairs out for certain. The others are confirmed
+on their full shingle sets.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ SAMPLES = BANDS * ROWS
 #: Bits of the odd sketch, as 64-bit words.
 SKETCH_WORDS = 4
 SKETCH_BITS = 64 * SKETCH_WORDS
+#: Words of the odd sketch of the whole set (a power of two).
+PARITY_WORDS = 16
 #: How many standard deviations of the estimate below the threshold a pair may be and still be confirmed.
 MARGIN = 6.0
 THRESHOLD = 0.8
@@ -80,9 +84,19 @@ def most_odd_bits(threshold: float, margin: float = MARGIN) -> int:
     return math.ceil(n * p + margin / 2 * math.sqrt(n * p * (1 - p)))
 
 
-def odd_bits(a: str, b: str) -> Column:
-    """Ones in the XOR of two sketch columns (arrays of SKETCH_WORDS longs), inside generated code."""
-    ones = [F.bit_count(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))) for i in range(SKETCH_WORDS)]
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, PARITY_WORDS): the odd sketch of each whole set. Two sets differ in at least as many elements as their sketches in bits."""
+    out = np.zeros((len(sets), 64 * PARITY_WORDS), dtype=np.uint8)
+    shift = np.uint64(65 - (64 * PARITY_WORDS).bit_length())
+    for i, s in enumerate(sets):
+        if len(s):
+            out[i] = np.bincount((s >> shift).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(out, axis=1, bitorder="little").view("<i8")
+
+
+def odd_bits(a: str, b: str, words: int) -> Column:
+    """Ones in the XOR of two sketch columns (arrays of so many longs), inside generated code."""
+    ones = [F.bit_count(F.get(F.col(a), F.lit(i)).bitwiseXOR(F.get(F.col(b), F.lit(i)))) for i in range(words)]
     total = ones[0]
     for more in ones[1:]:
         total = total + more
@@ -90,10 +104,10 @@ def odd_bits(a: str, b: str) -> Column:
 
 
 def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, print_hi, print_lo, bands, sketch) for each row; the print is a 128-bit hash of the whole set."""
+    """(doc_id, n_shingles, print_hi, print_lo, bands, sketch, parity) for each row; the print is a 128-bit hash of the whole set."""
 
     def run(batches):
-        for batch in pieces(batches, size=4 << 20):
+        for batch in pieces(batches, rows=500, size=1 << 20):
             sets = shingle_sets(as_bytes(batch.column("text")), words)
             full = [i for i, s in enumerate(sets) if len(s)]
             mins = np.stack([samples(sets[i]) for i in full]) if full else np.empty((0, SAMPLES), np.uint32)
@@ -109,12 +123,13 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     pa.array(low),
                     pa.array([keys[at[i]] if i in at else None for i in range(len(sets))], pa.list_(pa.int64())),
                     pa.array([sketches[at[i]] if i in at else None for i in range(len(sets))], pa.list_(pa.int64())),
+                    pa.array(list(parities(sets)), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "print_hi", "print_lo", "bands", "sketch"],
+                ["doc_id", "n_shingles", "print_hi", "print_lo", "bands", "sketch", "parity"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, print_hi bigint, print_lo bigint, bands array<bigint>, sketch array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, print_hi bigint, print_lo bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, percent: float, words: int = WORDS) -> DataFrame:
@@ -126,7 +141,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: float, words: int = WORD
 
     def run(batches):
         for whole in batches:
-            for batch in pieces([whole], rows=500, size=2 << 20, column="text_a"):
+            for batch in pieces([whole], rows=200, size=1 << 20, column="text_a"):
                 left, right = as_bytes(batch.column("text_a")), as_bytes(batch.column("text_b"))
                 distinct = list(dict.fromkeys(left + right))
                 sets = dict(zip(distinct, shingle_sets(distinct, words), strict=True))
@@ -147,25 +162,25 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
 
     Texts with one shingle set form a class, found by an aggregation on the set's
     print, and only the least doc_id of a class goes on. In each band bucket a
-    class is compared with the bucket's first class, then, where components
-    still differ, with every class of the bucket outside its own component; so a
+    class is compared with the bucket's hub, then, where components still
+    differ, with every class of the bucket outside its own component; so a
     bucket of many alike classes costs one comparison each, and a pair that
-    shares a bucket goes unchecked only if it is connected already or its sketch
-    rules it out. Texts without words (null, empty, only white space) and rows
+    shares a bucket goes unchecked only if it is connected already or its sketches
+    rule it out. Texts without words (null, empty, only white space) and rows
     with a null doc_id are linked with nothing. Rows that share a doc_id count
     as one document, the one with the least set print.
     """
     scratch = Scratch(docs.sparkSession, "near")
     # the least of the rows that share an id, without sorting arrays: a later join takes its features
-    found = scratch.keep(features(docs, words).where(F.col("doc_id").isNotNull()))
-    ids = found.groupBy("doc_id").agg(F.min(F.struct("print_hi", "print_lo", "n_shingles")).alias("p")).select("doc_id", "p.*")
+    found = scratch.keep(features(docs, words))
+    ids = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct("print_hi", "print_lo", "n_shingles")).alias("p")).select("doc_id", "p.*")
     ids = scratch.keep(ids)
     classes = ids.where("n_shingles > 0").groupBy("print_hi", "print_lo", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
     classes = scratch.keep(classes)
     nodes = scratch.keep(
         found.join(classes.select("doc_id", F.col("print_hi").alias("_h"), F.col("print_lo").alias("_l")), "doc_id")
         .where((F.col("print_hi") == F.col("_h")) & (F.col("print_lo") == F.col("_l")))
-        .select("doc_id", "n_shingles", "bands", "sketch")
+        .select("doc_id", "n_shingles", "bands", "sketch", "parity")
         .dropDuplicates(["doc_id"])
     )
     links = link_classes(nodes, docs, 100 * threshold, words, scratch)
@@ -175,45 +190,65 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
         .join(roots.withColumnRenamed("id", "root"), "root", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "root", "doc_id").alias("component_id"))
     )
-    return members
+    # rows without an id are documents too: linked with nothing, and with no component to name
+    none = found.where(F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return members.unionByName(none)
 
 
 def link_classes(nodes: DataFrame, docs: DataFrame, percent: float, words: int, scratch: Scratch) -> DataFrame:
     """Confirmed (a, b) links that connect exactly what all links between the nodes' bucket mates would."""
-    limit = most_odd_bits(percent / 100)
-    sized = (F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")) & (odd_bits("sketch_a", "sketch_b") <= limit)
+    limit, mark = most_odd_bits(percent / 100), scratch.mark()
+    # sizes and whole-set parities bound the similarity from above; the samples' sketches estimate it
+    total, odd = F.col("n_a") + F.col("n_b"), odd_bits("parity_a", "parity_b", PARITY_WORDS)
+    possible = (
+        (F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+        & (odd_bits("sketch_a", "sketch_b", SKETCH_WORDS) <= limit)
+        & (F.lit(100) * (total - odd) >= F.lit(percent) * (total + odd))
+    )
     postings = nodes.select("doc_id", F.explode("bands").alias("key"))
-    first = postings.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
-    first = scratch.keep(first)
     # buckets of one class end here
-    shared = scratch.keep(postings.join(first, "key"))
-    stars = shared.where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    a = nodes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    b = nodes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    stars = scratch.keep(stars.join(a, "a").join(b, "b").where(sized).select("a", "b"))
-    # round 1: each class against one first class
-    once = stars.groupBy("b").agg(F.min("a").alias("a"))
+    crowds = scratch.keep(postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = scratch.keep(postings.join(crowds, "key"))
+    # a text from which the others of its group derive stands in the fullest buckets
+    central = shared.groupBy("doc_id").agg(F.sum("n").alias("w"))
+    hubs = shared.join(central, "doc_id").groupBy("key").agg(F.max(F.struct("w", (-F.col("doc_id")).alias("d"))).alias("h")).select("key", (-F.col("h.d")).alias("hub"))
+    stars = shared.join(scratch.keep(hubs), "key").where("doc_id != hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), "n")
+    stars = stars.groupBy("a", "b").agg(F.sum("n").alias("w"))
+    a = nodes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"), F.col("parity").alias("parity_a"))
+    b = nodes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"), F.col("parity").alias("parity_b"))
+    stars = scratch.keep(stars.join(a, "a").join(b, "b").where(possible).select("a", "b", "w"))
+    # round 1: each class against the hub of most of its buckets
+    once = scratch.keep(stars.groupBy("b").agg(F.max(F.struct("w", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
     links = scratch.keep(confirm(once, docs, percent, words))
-    # round 2: the other first classes, where not connected yet
+    # round 2: its other hubs, where not connected yet
     label = components(links, label="near-round")
-    links = scratch.keep(links.unionByName(confirm(_apart(stars.join(once.withColumn("_", F.lit(1)), ["a", "b"], "left_anti"), label), docs, percent, words)))
+    others = scratch.keep(_apart(stars.select("a", "b").join(once.withColumn("_", F.lit(1)), ["a", "b"], "left_anti"), label))
+    links = scratch.keep(links.unionByName(confirm(others, docs, percent, words)))
     # round 3: what shares a bucket across components
     label = components(links, label="near-round")
     placed = shared.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("part"))
     counts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
-    mixed = scratch.keep(counts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("m.part").alias("main")))
-    rest = placed.join(mixed, "key").join(nodes.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    rest = scratch.keep(rest)
-    x = rest.where("part != main").select("key", F.col("doc_id").alias("a"), F.col("part").alias("part_a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    y = rest.select("key", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), "main", F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    mixed = scratch.keep(
+        counts.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("m.part").alias("main"))
+    )
+    rest = scratch.keep(placed.join(mixed, "key").join(nodes.select("doc_id", "n_shingles", "sketch", "parity"), "doc_id"))
+    x = rest.where("part != main").select("key", *[F.col(c).alias(d) for c, d in _sides("a")])
+    y = rest.select("key", "main", *[F.col(c).alias(d) for c, d in _sides("b")])
     across = (
         x.join(y, "key")
-        .where((F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main")) | (F.col("a") < F.col("b"))) & sized)
+        .where((F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main")) | (F.col("a") < F.col("b"))) & possible)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    across = scratch.keep(across.join(stars, ["a", "b"], "left_anti"))
-    return scratch.keep(links.unionByName(confirm(across, docs, percent, words)))
+    known = once.unionByName(others).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    across = scratch.keep(across.join(known, ["a", "b"], "left_anti"))
+    links = scratch.keep(links.unionByName(confirm(across, docs, percent, words)))
+    scratch.drop_since(mark, links)
+    return links
+
+
+def _sides(end: str) -> list[tuple[str, str]]:
+    return [("doc_id", end), ("part", f"part_{end}"), ("n_shingles", f"n_{end}"), ("sketch", f"sketch_{end}"), ("parity", f"parity_{end}")]
 
 
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -234,4 +269,4 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS)
 def query(docs: DataFrame) -> DataFrame:
     """Contract of op6: components at similarity 0.85."""
     found = near_duplicates(docs.select("doc_id", "text"), 0.85)
-    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
