@@ -73,7 +73,7 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
     """(lang, gram, n) over all rows with a language; each batch is summed before it is sent."""
 
     def run(batches):
-        for batch in pieces(batches, rows=4000, size=8 << 20):
+        for batch in pieces(batches, rows=4000, size=2 << 20):
             by: dict[str, list[str]] = {}
             for value, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 if value:
