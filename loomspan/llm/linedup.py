@@ -2,11 +2,11 @@
 
 A document is the sequence of its lines' hashes. Runs that repeat elsewhere are
 found from a few fingerprints: grams of consecutive lines, of which each window
-keeps its least. Windows and grams are measured in words, so that any repeated
-run of at least ``min_words`` words holds a whole window and therefore shares a
-fingerprint with every other copy. Fingerprints are joined to their first
-occurrence, each match is extended line by line both ways, and the lines of runs
-that reach ``min_words`` words are deleted from the later place.
+keeps its least. A window is the shortest run with ``min_words`` words from a line
+on, or up to a line. Equal windows share their fingerprint, so only windows whose
+fingerprint occurs twice are compared, by the hash of all their lines. The lines of
+every window that occurred before are deleted: a repeated run of ``min_words`` words
+is the union of such windows, whatever follows or precedes its other copies.
 """
 
 from __future__ import annotations
@@ -51,140 +51,155 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(hashes: np.ndarray, words: np.ndarray, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(start line, gram hash) of the document's selected grams, in line order.
+class Runs:
+    """Hashes of runs of lines, from prefix sums of line hashes times powers."""
 
-    The gram at a line is the shortest run from it with gram_words words. The
-    window at a line is the shortest run from it with min_words words; of the
-    grams inside it, the one with the least hash (the rightmost of equals) is selected.
-    """
+    def __init__(self, hashes: np.ndarray, seed: int = 0):
+        n = len(hashes)
+        power = np.cumprod(np.full(n + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
+        inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+        self.back = np.cumprod(np.full(n + 1, inverse, dtype=np.uint64))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(hashes.view(np.uint64) ^ np.uint64(seed)) * power[:n])])
+
+    def of(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        return _mix((self.sums[stops] - self.sums[starts]) * self.back[starts])
+
+
+def windows_of(words: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, stops) of the shortest runs with min_words words from each line on and up to each line, once each, both rising."""
+    n = len(words)
+    total = np.concatenate([[0], np.cumsum(words)])
+    stops = spans(words, min_words)[:n]
+    starts = np.flatnonzero(stops <= n)
+    ends = np.flatnonzero(total >= min_words)
+    ends = ends[ends > 0]
+    begins = np.searchsorted(total, total[ends] - min_words, side="right") - 1
+    both = np.unique(np.concatenate([starts * (n + 1) + stops[starts], begins * (n + 1) + ends]))
+    return both // (n + 1), both % (n + 1)
+
+
+def window_prints(hashes: np.ndarray, words: np.ndarray, starts: np.ndarray, stops: np.ndarray, gram_words: int = GRAM_WORDS) -> np.ndarray:
+    """Each window's fingerprint: the least hash of the grams inside it. The gram at a line is the shortest run from it with gram_words words."""
     n = len(hashes)
-    ends = spans(words, gram_words)
-    windows = spans(words, min_words)
-    starts = np.flatnonzero(windows <= n)
     if not len(starts):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    # the hash of a run of lines, from prefix sums of hashes times powers
-    power = np.cumprod(np.full(n + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
-    inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-    back = np.cumprod(np.full(n + 1, inverse, dtype=np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(hashes.view(np.uint64)) * power[:n])])
-    held = np.minimum(ends, n)
-    gram = _mix((sums[held] - sums[:n]) * back[:n])
+        return np.empty(0, np.int64)
+    ends = spans(words, gram_words)[:n]
+    gram = Runs(hashes).of(np.arange(n), np.minimum(ends, n))
     gram[ends > n] = np.uint64(0xFFFFFFFFFFFFFFFF)
     # windows and the grams inside them move right together: a queue of rising hashes gives each minimum
-    chosen: set[int] = set()
+    chosen: list[int] = []
     queue: deque[int] = deque()
-    inside = np.searchsorted(ends, windows, side="right").tolist()
+    inside = np.searchsorted(ends, stops, side="right").tolist()
     values, taken = gram.tolist(), 0
-    for i in starts.tolist():
-        for j in range(taken, inside[i]):
+    for i, held in zip(starts.tolist(), inside, strict=True):
+        for j in range(taken, held):
             while queue and values[queue[-1]] >= values[j]:
                 queue.pop()
             queue.append(j)
-        taken = max(taken, inside[i])
+        taken = max(taken, held)
         while queue[0] < i:
             queue.popleft()
-        chosen.add(queue[0])
-    at = np.array(sorted(chosen), dtype=np.int64)
-    return at, gram[at].view(np.int64)
+        chosen.append(queue[0])
+    return gram[np.array(chosen, dtype=np.int64)].view(np.int64)
+
+
+def covered(starts, stops, n: int) -> np.ndarray:
+    """Whether each of n lines is in one of the runs."""
+    edges = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, stops, -1)
+    return np.cumsum(edges[:n]) > 0
 
 
-def own_repeats(hashes: np.ndarray, words: np.ndarray, at: np.ndarray, prints: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lines to delete for a repeat earlier in the same document, and at and prints of the first occurrences)."""
-    if not len(at):
-        return np.empty(0, np.int64), at, prints
-    _, first = np.unique(prints, return_index=True)
-    place = {int(prints[i]): int(at[i]) for i in first}
-    gone = np.zeros(len(hashes), dtype=bool)
-    for start, key in zip(at.tolist(), prints.tolist(), strict=True):
-        if start != place[key] and not gone[start]:
-            gone[runs_on_diagonal(hashes, words, hashes, start - place[key], [start], min_words)] = True
-    first = np.sort(first)
-    return np.flatnonzero(gone), at[first], prints[first]
+def window_keys(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each window, in two words: equal for equal lines."""
+    return Runs(hashes).of(starts, stops).view(np.int64), Runs(hashes, 0x5851F42D4C957F2D).of(starts, stops).view(np.int64)
 
 
-_SEQUENCE = "doc_id bigint, hashes array<bigint>, words array<int>, own array<int>, at array<int>, prints array<bigint>"
+def first_windows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether each window, by its key's words, is the first in the document with its lines."""
+    out = np.ones(len(a), dtype=bool)
+    order = np.lexsort((np.arange(len(a)), b, a))
+    out[order[1:]] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    return out
+
+
+_SEQUENCE = "doc_id bigint, hashes array<bigint>, words array<int>, own array<int>, prints array<bigint>"
 
 
 def sequences(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """One row for each row of docs with text: line hashes, words, lines that repeat the document itself, fingerprints."""
+    """One row for each row of docs with text: line hashes, words, lines that repeat the document itself, distinct fingerprints."""
 
     def run(batches):
         for batch in pieces(batches):
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 hashes, words = line_hashes(split_lines(text))
-                at, prints = fingerprints(hashes, words, min_words, gram_words)
-                own, at, prints = own_repeats(hashes, words, at, prints, min_words)
-                for column, value in zip(out, (doc, hashes, words, own, at, prints), strict=True):
+                starts, stops = windows_of(words, min_words)
+                prints = np.unique(window_prints(hashes, words, starts, stops, gram_words))
+                later = ~first_windows(*window_keys(hashes, starts, stops))
+                own = np.flatnonzero(covered(starts[later], stops[later], len(hashes)))
+                for column, value in zip(out, (doc, hashes, words, own, prints), strict=True):
                     column.append(value)
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["doc_id", "hashes", "words", "own", "at", "prints"])
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["doc_id", "hashes", "words", "own", "prints"])
 
     rows = docs.where(F.col("doc_id").isNotNull() & (F.col("text") != "")).select("doc_id", "text")
     return rows.mapInArrow(run, _SEQUENCE)
 
 
-def runs_on_diagonal(later: np.ndarray, words: np.ndarray, first: np.ndarray, offset: int, anchors: list[int], min_words: int) -> np.ndarray:
-    """Lines of ``later`` in matched runs that hold an anchor and reach min_words words. Line i lies against line i - offset of ``first``."""
-    low, high = max(0, offset), min(len(later), len(first) + offset)
-    same = np.zeros(len(later) + 1, dtype=bool)
-    same[low:high] = later[low:high] == first[low - offset : high - offset]
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], same]).astype(np.int8)))
-    starts, stops = edges[::2], edges[1::2]
-    total = np.concatenate([[0], np.cumsum(words)])
-    out = []
-    for i in sorted(set(np.searchsorted(starts, anchors, side="right") - 1)):
-        if i >= 0 and total[stops[i]] - total[starts[i]] >= min_words:
-            out.append(np.arange(starts[i], stops[i]))
-    return np.concatenate(out) if out else np.empty(0, np.int64)
-
-
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
     """(doc_id, n_removed, bits): for each document with later repeats, the lines to delete as a bitmap of 64 lines a word.
 
-    Places are ordered by (doc_id, line); the first occurrence of a fingerprint
-    is never the one deleted on its account. One pair of documents and offset is
-    aligned once, however many fingerprints it shares, and a fingerprint with
-    many occurrences gives one match each, to its first occurrence.
+    Places are ordered by (doc_id, line). A line goes when a run of min_words
+    words that holds it occurred at an earlier place. A document sends a window
+    once, however often it holds it, and only if another document shares the
+    window's fingerprint.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     seq = scratch.keep(
         sequences(docs, min_words, gram_words)
         .groupBy("doc_id")
-        .agg(F.min(F.struct("hashes", "words", "own", "at", "prints")).alias("s"))
+        .agg(F.min(F.struct("hashes", "words", "own", "prints")).alias("s"))
         .select("doc_id", "s.*")
     )
-    pairs = seq.select("doc_id", F.explode(F.arrays_zip("at", "prints")).alias("p"))
-    places = scratch.keep(pairs.select("doc_id", F.col("p.at").alias("at"), F.col("p.prints").alias("print")))
+    places = scratch.keep(seq.select("doc_id", F.explode("prints").alias("print")))
+    shared = scratch.keep(places.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"))
+    hits = scratch.keep(places.join(shared, "print").groupBy("doc_id").agg(F.collect_list("print").alias("shared")))
+
+    def cut(batches):
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "hashes", "words", "shared")]
+            for doc, hashes, words, found in zip(*cols, strict=True):
+                hashes, words = np.array(hashes, dtype=np.int64), np.array(words, dtype=np.int64)
+                starts, stops = windows_of(words, min_words)
+                keep = np.isin(window_prints(hashes, words, starts, stops, gram_words), np.array(found, dtype=np.int64))
+                starts, stops = starts[keep], stops[keep]
+                a, b = window_keys(hashes, starts, stops)
+                first = first_windows(a, b)
+                ids = np.full(int(first.sum()), doc, dtype=np.int64)
+                arrays = [pa.array(ids), pa.array(starts[first], pa.int32()), pa.array(stops[first], pa.int32()), pa.array(a[first]), pa.array(b[first])]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "stop", "a", "b"])
+
+    held = hits.join(seq.select("doc_id", "hashes", "words"), "doc_id").select("doc_id", "hashes", "words", "shared")
+    windows = scratch.keep(held.mapInArrow(cut, "doc_id bigint, start int, stop int, a bigint, b bigint"))
     firsts = scratch.keep(
-        places.groupBy("print")
-        .agg(F.min(F.struct("doc_id", "at")).alias("f"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("print", F.col("f.doc_id").alias("first_id"), F.col("f.at").alias("first_at"))
+        windows.groupBy("a", "b").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("a", "b", "first_id")
     )
-    matches = scratch.keep(
-        places.join(firsts, "print")
+    across = (
+        windows.join(firsts, ["a", "b"])
         .where(F.col("doc_id") != F.col("first_id"))
-        .groupBy("doc_id", "first_id", (F.col("at") - F.col("first_at")).alias("offset"))
-        .agg(F.collect_set("at").alias("anchors"))
-    )
-    aligned = matches.join(seq.select("doc_id", "hashes", "words"), "doc_id").join(
-        seq.select(F.col("doc_id").alias("first_id"), F.col("hashes").alias("first_hashes")), "first_id"
+        .groupBy("doc_id")
+        .agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
     )
 
-    def extend(batches):
+    def spread(batches):
         for batch in batches:
-            ids, found = [], []
-            cols = [batch.column(c).to_pylist() for c in ("doc_id", "hashes", "words", "first_hashes", "offset", "anchors")]
-            for doc, hashes, words, first, offset, anchors in zip(*cols, strict=True):
-                lines = runs_on_diagonal(np.array(hashes), np.array(words), np.array(first), offset, anchors, min_words)
-                if len(lines):
-                    ids.append(doc)
-                    found.append(lines)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "lines"])
+            found = []
+            for starts, stops in zip(batch.column("starts").to_pylist(), batch.column("stops").to_pylist(), strict=True):
+                found.append(np.flatnonzero(covered(np.array(starts), np.array(stops), max(stops))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "lines"])
 
     def bitmaps(batches):
         for batch in batches:
@@ -199,7 +214,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
                 [batch.column("doc_id"), pa.array(counts, pa.int32()), pa.array(maps, pa.list_(pa.int64()))], ["doc_id", "n_removed", "bits"]
             )
 
-    across = aligned.select("doc_id", "hashes", "words", "first_hashes", "offset", "anchors").mapInArrow(extend, "doc_id bigint, lines array<int>")
+    across = across.mapInArrow(spread, "doc_id bigint, lines array<int>")
     own = seq.where(F.size("own") > 0).select("doc_id", F.col("own").alias("lines"))
     gathered = across.unionByName(own).groupBy("doc_id").agg(F.collect_list("lines").alias("lists"))
     return scratch.keep(gathered.mapInArrow(bitmaps, "doc_id bigint, n_removed int, bits array<bigint>"))

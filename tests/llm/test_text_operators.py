@@ -230,6 +230,36 @@ def test_every_long_repeat_goes(spark, sf_dir):
             assert all(not x or all_lines[x][0] < i or text.count(x) > 1 for x in gone)
 
 
+def lines_by_hand(texts, least=50):
+    """What is left when every line goes that lies in a run of so many words that occurred at an earlier place."""
+    seen, left = set(), {}
+    for i in sorted(texts):
+        lines, gone = texts[i].split("\n"), set()
+        for s in range(len(lines)):
+            for e in range(s + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[s:e]) >= least:
+                    if tuple(lines[s:e]) in seen:
+                        gone.update(range(s, e))
+                    seen.add(tuple(lines[s:e]))
+        left[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return left
+
+
+def test_repeats_with_another_first_place(spark):
+    """A frequent line whose first place goes on differently hides no repeat, across documents or inside one."""
+    texts = {}
+    for k in range(12):
+        f, x, y, tail = line(f"f{k}_", 30), line(f"x{k}_", 25), line(f"y{k}_", 30), line(f"t{k}_", 3)
+        texts |= {10 * k: f"{f}\n{y}", 10 * k + 1: f"{f}\n{x}\n{tail}", 10 * k + 2: f"{f}\n{x}\n{tail}", 10 * k + 3: f"{f}\n{x}"}
+        f, x, y = line(f"F{k}_", 30), line(f"X{k}_", 25), line(f"Y{k}_", 30)
+        texts[10 * k + 4] = f"{f}\n{y}\n{f}\n{x}\nend\n{f}\n{x}"
+    rng = np.random.default_rng(12)
+    for i in range(120):
+        texts[1000 + i] = "\n".join(line(f"r{j}_", (3, 10, 17, 24, 31, 38)[j]) for j in rng.integers(0, 6, 9))
+    got = lines_query(spark, list(texts.items()))
+    assert {i: got[i].text for i in texts} == lines_by_hand(texts)
+
+
 def test_line_edges(spark):
     rows = spark.createDataFrame([(None, "a"), (1, "b"), (1, "b")], "doc_id long, text string")
     assert linedup.dedup_lines(rows).count() == 3 and linedup.dedup_lines(rows.where("false")).count() == 0
