@@ -17,8 +17,6 @@ from loomspan.plans.scratch import Scratch
 
 BUCKETS = 8
 TOKEN_BUDGET = 32768
-#: Histogram cells at the driver; longer histograms are made coarser by rounding lengths up.
-MAX_CELLS = 4096
 ADDED = ("n_tokens", "bucket", "batch", "batch_row")
 
 
@@ -28,16 +26,18 @@ def token_count(text: Column) -> Column:
     return (words + 1).cast("long")
 
 
-def length_cells(lengths: DataFrame, max_cells: int = MAX_CELLS) -> tuple[int, list[tuple[int, int]]]:
+def length_cells(lengths: DataFrame, max_cells: int | None = None) -> tuple[int, list[tuple[int, int]]]:
     """(step, [(cell, rows)]): the histogram of a ``length`` column, each cell a multiple of step.
 
-    step is 1 while there are at most max_cells distinct lengths; otherwise it
-    is the least power of two with which max_cells cells reach the longest.
+    step is 1 unless the caller sets max_cells and there are more distinct
+    lengths; then it is the least power of two with which max_cells cells reach
+    the longest. Without it the cells are at most the square root of twice the
+    tokens, as distinct lengths add up to no more than those: 100,000 for 5e9.
     """
     counts = lengths.groupBy("length").agg(F.count("*").alias("n"))
     stats = counts.agg(F.count("*").alias("cells"), F.max("length").alias("top")).first()
     step = 1
-    while stats["cells"] > max_cells and stats["top"] > step * max_cells:
+    while max_cells is not None and stats["cells"] > max_cells and stats["top"] > step * max_cells:
         step *= 2
     cell = (F.ceil(F.col("length") / step) * step).cast("long").alias("cell")
     found = counts.groupBy(cell).agg(F.sum("n").alias("n")).orderBy("cell").collect()
@@ -49,33 +49,41 @@ def boundaries(cells: list[tuple[int, int]], buckets: int = BUCKETS) -> list[int
 
     cells are (length, rows) in rising order. best[j] is the least padding of
     the first j cells with the buckets used so far; a further bucket that ends
-    at cell j starts after some i < j and pads its rows to cell j's length.
+    at cell j starts after some i < j and pads its rows to cell j's length. The
+    best i never falls as j rises, so halving the range of j leaves each step of
+    the halving about as many (i, j) as there are cells. Sums are exact in 64 bits.
     """
     if not cells:
         return []
     sizes = [c for c, _ in cells]
-    rows, tokens = [0], [0]
-    for c, n in cells:
-        rows.append(rows[-1] + n)
-        tokens.append(tokens[-1] + c * n)
     m = len(cells)
-    best = [0] + [sizes[j - 1] * rows[j] - tokens[j] for j in range(1, m + 1)]
-    back = [[0] * (m + 1)]
-    r, t = np.array(rows, dtype=np.float64), np.array(tokens, dtype=np.float64)
-    now = np.array(best, dtype=np.float64)
-    now[0] = 0
+    z, n = np.array(cells, dtype=np.int64).T
+    r, t = (np.concatenate([[0], np.cumsum(x)]) for x in (n, z * n))
+    now = np.concatenate([[0], z * r[1:] - t[1:]])
+    back = [np.zeros(m + 1, dtype=np.int64)]
     for used in range(1, min(buckets, m)):
-        after, source = np.full(m + 1, np.inf), [0] * (m + 1)
-        for j in range(used + 1, m + 1):
-            cost = now[used:j] + sizes[j - 1] * (r[j] - r[used:j]) - (t[j] - t[used:j])
-            i = int(np.argmin(cost))
-            after[j], source[j] = cost[i], used + i
+        after, source = np.zeros(m + 1, dtype=np.int64), np.zeros(m + 1, dtype=np.int64)
+        # ranges of j that are left, and of the i among which their best ones lie
+        first, last, low, high = (np.array([x]) for x in (used + 1, m, used, m - 1))
+        while len(first):
+            j = (first + last) // 2
+            count = np.minimum(high, j - 1) - low + 1
+            at = np.cumsum(count) - count
+            part = np.repeat(np.arange(len(j)), count)
+            i = np.arange(len(part)) - at[part] + low[part]
+            cost = now[i] + z[j - 1][part] * (r[j][part] - r[i]) - (t[j][part] - t[i])
+            after[j] = np.minimum.reduceat(cost, at)
+            least = np.flatnonzero(cost == after[j][part])
+            source[j] = best = i[least[np.unique(part[least], return_index=True)[1]]]
+            first, last, low, high = (np.concatenate(x) for x in ((first, j + 1), (j - 1, last), (low, best), (best, high)))
+            left = first <= last
+            first, last, low, high = first[left], last[left], low[left], high[left]
         back.append(source)
         now = after
     out, j = [], m
     for source in reversed(back):
         out.append(sizes[j - 1])
-        j = source[j]
+        j = int(source[j])
     return out[::-1]
 
 
@@ -94,7 +102,7 @@ def pack(
     carry: list[str] | None = None,
     buckets: int = BUCKETS,
     budget: int = TOKEN_BUDGET,
-    max_cells: int = MAX_CELLS,
+    max_cells: int | None = None,
 ) -> DataFrame:
     """The carried columns (default: all) with n_tokens, bucket (padded length), batch and batch_row (longs).
 
@@ -103,7 +111,8 @@ def pack(
     than the budget has a batch to itself. Null and empty texts count as one
     token. Rows that repeat a key are packed each for itself. Columns of docs
     with the added names are replaced. An empty table gives an empty result.
-    The texts are counted once; ranks inside a bucket come from range
+    The boundaries pad least over all lengths; max_cells rounds lengths up for
+    them. The texts are counted once; ranks inside a bucket come from range
     partitions, so a bucket with most of the rows spans many tasks.
     """
     scratch = Scratch(docs.sparkSession, "pack")
@@ -127,7 +136,7 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same packing in SQL, one CTE for each bucket that the dynamic program adds. For at most MAX_CELLS distinct lengths."""
+    """The same packing in SQL, one CTE for each bucket that the dynamic program adds."""
     levels = ["b1 AS (SELECT j, z * r - t AS cost, [z] AS ends FROM h)"]
     for k in range(2, BUCKETS + 1):
         levels.append(

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,6 +83,39 @@ def test_pack(spark):
     assert packing.pack(docs.where("false")).count() == 0
 
 
+def boundaries_by_hand(cells, buckets):
+    """Every (i, j) of the dynamic program."""
+    z, n = np.array(cells).T
+    r, t = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(z * n)])
+    best, ends = np.concatenate([[0], z * r[1:] - t[1:]]).tolist(), [[], *([int(c)] for c in z)]
+    for used in range(1, min(buckets, len(z))):
+        rows = [(None, None)] * (used + 1)
+        for j in range(used + 1, len(z) + 1):
+            cost = np.array(best[used:j]) + z[j - 1] * (r[j] - r[used:j]) - (t[j] - t[used:j])
+            i = used + int(np.argmin(cost))
+            rows.append((int(cost[i - used]), [*ends[i], int(z[j - 1])]))
+        best, ends = [x[0] for x in rows], [x[1] for x in rows]
+    return ends[-1]
+
+
+def test_boundaries_against_every_pair():
+    rng = random.Random(9)
+    for top, m in ((60, 25), (60, 40), (400, 90), (10**6, 300)):
+        for _ in range(8):
+            cells = [(c, rng.choice((1, 1, 2, 50, 10**6))) for c in sorted(rng.sample(range(1, top), m))]
+            for k in (1, 2, 3, 8):
+                assert packing.boundaries(cells, k) == boundaries_by_hand(cells, k)
+
+
+def test_one_long_text_does_not_coarsen_the_others(spark):
+    """More than 4,096 distinct lengths, one of them far off: the padding is still the least."""
+    docs = spark.range(4300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), F.when(F.col("id") == 4299, 200_000).otherwise(F.col("id") % 4200).cast("int")).alias("text"))
+    docs = docs.unionByName(spark.range(9000).select((F.col("id") + 5000).alias("doc_id"), F.lit("one two").alias("text")))
+    got = packing.pack(docs, carry=["doc_id"], buckets=3).groupBy("n_tokens", "bucket").count().collect()
+    cells = sorted((r["n_tokens"], r["count"]) for r in got)
+    assert len(cells) == 4201 and sorted({r["bucket"] for r in got}) == boundaries_by_hand(cells, 3)
+
+
 def test_coarse_histogram(spark):
     lengths = spark.range(1000).select((F.col("id") * 3 + 1).alias("length"))
     step, cells = packing.length_cells(lengths, 100)
