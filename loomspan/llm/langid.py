@@ -17,12 +17,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.llm.common import id_residue, pieces
+from loomspan.plans.scratch import Scratch
 
 #: Letters are code points below 2**21, so three of them fit in 63 bits.
 BITS = 21
 UNDETERMINED = "und"
 #: A prediction scoring below this matches no profile in any useful way (see ``identify``).
 MIN_SCORE = 0.02
+#: A prediction is taken from this share of a usual low score on: what all but LOW of the labelled texts like it reach, so that up to LOW of the labels may be wrong.
+USUAL_SHARE, LOW = 0.5, 0.1
+#: Labelled texts of a language and length from which on they have a bound of their own.
+MIN_LABELLED = 50
 
 _FOLD: np.ndarray | None = None
 
@@ -167,12 +172,33 @@ def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text
     return docs.select(*keep).mapInArrow(run, schema)
 
 
-def accept(docs: DataFrame, profiles: dict, size: int = 400, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows whose language can be told: not ``und`` and not below min_score. Columns are unchanged."""
-    marked = identify(docs.withColumn("_text", F.col("text")), profiles, size, "_text")
-    if {"lang_pred", "score"} & set(docs.columns):
-        raise ValueError("docs already has lang_pred or score")
-    return marked.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*docs.columns)
+def usual_scores(marked: DataFrame, lang: str = "lang") -> tuple[DataFrame, DataFrame]:
+    """(lang_pred, _size, _q) and (lang_pred, _all): low quantiles of the scores of labelled rows that got their label, by length class and over all."""
+    own = marked.where(F.col(lang) == F.col("lang_pred"))
+    low = F.percentile_approx("score", F.lit(LOW), F.lit(10_000))
+    by = own.groupBy("lang_pred", "_size").agg(low.alias("_q"), F.count("*").alias("_n")).where(F.col("_n") >= MIN_LABELLED).drop("_n")
+    return by, own.groupBy("lang_pred").agg(low.alias("_all"))
+
+
+def accept(docs: DataFrame, profiles: dict, size: int = 400, min_score: float = MIN_SCORE, lang: str = "lang") -> DataFrame:
+    """The rows whose language can be told: not ``und``, not below min_score, and not far from every profile. Columns are unchanged.
+
+    A text is far from every profile when it scores less than USUAL_SHARE of
+    what labelled texts of the predicted language and a like length (to a factor
+    of two, from 32 to 4096 characters) score at their LOW quantile. Where fewer
+    than MIN_LABELLED are of that length, those of all lengths count. The label
+    of the text itself does not matter. At most 9 bounds a language are broadcast.
+    """
+    if {"lang_pred", "score", "_size"} & set(docs.columns):
+        raise ValueError("docs already has lang_pred, score or _size")
+    length = F.char_length("text")
+    kind = F.floor(F.log2(F.least(F.greatest(length, F.lit(16)), F.lit(4096)))).cast("int")
+    scratch = Scratch(docs.sparkSession, "langid")
+    marked = scratch.keep(identify(docs, profiles, size).withColumn("_size", kind))
+    by, whole = (scratch.keep(x) for x in usual_scores(marked, lang))
+    usual = F.coalesce("_q", "_all", F.lit(0.0))
+    told = marked.where(F.col("lang_pred") != UNDETERMINED).join(F.broadcast(by), ["lang_pred", "_size"], "left").join(F.broadcast(whole), "lang_pred", "left")
+    return told.where((F.col("score") >= min_score) & (F.col("score") >= USUAL_SHARE * usual)).select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import base64
 import collections
 import math
 import re
@@ -51,6 +52,24 @@ def test_language_edges(spark):
     assert langid.learn(docs.where("false")) == {} and {r.lang_pred for r in langid.identify(docs, {}).collect()} == {"und"}
 
 
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. "
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. "
+ENGLISH = "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience. "
+
+
+def test_letter_junk_and_foreign_texts_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", F.lit("x").alias("extra"))
+    rng = np.random.default_rng(11)
+    letters = list("abcdefghijklmnopqrstuvwxyz     ")
+    junk = ["xxxxxxxx zzzzzzz qqqqqqq", *("".join(rng.choice(letters, n)) for n in (150, 400, 3000, 20000)), base64.b64encode(rng.bytes(600)).decode(), *((POLISH * 99)[:n] for n in (60, 200, 900, 5000)), *((FINNISH * 99)[:n] for n in (200, 900, 5000))]
+    clean = ["the cat", "hello", ENGLISH[:40], ENGLISH]
+    rows = [(10**6 + i, t, None if i % 2 else "en", "s", "x") for i, t in enumerate(junk)] + [(2 * 10**6 + i, t, None, "s", "x") for i, t in enumerate(clean)]
+    both = docs.unionByName(spark.createDataFrame(rows, DOCS))
+    got = {r.doc_id for r in langid.accept(both, langid.learn(docs)).collect()}
+    assert {i for i in got if 10**6 <= i < 2 * 10**6} == set() and {2 * 10**6 + i for i in range(len(clean))} <= got
+    assert {r.doc_id for r in docs.collect()} <= got
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><a href="/">Home</a> Site of the news</header><nav><ul><li><a href="/a">The one</a></li><li><a href="/b">of two</a></li></ul></nav>
 <div class="cookie-notice">We use cookies on this site and it is for the best of all who are here, so that you may accept them.</div>
