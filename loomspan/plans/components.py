@@ -25,14 +25,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where(F.col("u") != F.col("v")).distinct()
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", label: str = "components", rounds: int = 40) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", label: str = "components", rounds: int = 64) -> DataFrame:
     """(id, component) for every vertex that occurs in a link; component is its least vertex.
 
     Links are an undirected edge list, in any order and with repeats; rows with
     a null end and self-links carry no information and are left out. Every
     iteration is written to the shared folder, so the plan never grows and a
     lost executor costs one iteration. Vertices without links are absent: the
-    caller left-joins and coalesces to the vertex itself.
+    caller left-joins and coalesces to the vertex itself. Rounds grow with the
+    logarithm of the longest path; if the given number does not suffice, a
+    RuntimeError says so.
     """
     scratch = Scratch(links.sparkSession, label)
     edges = scratch.keep(
@@ -52,6 +54,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", label: str = "compo
         if (got.n, got.s) == print_of:
             break
         print_of = (got.n, got.s)
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
