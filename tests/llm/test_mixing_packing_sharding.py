@@ -16,43 +16,63 @@ def test_matches_sql(spark, sf_dir, name):
     compare(spark, sf_dir, entry.queries()[name], entry.oracle_sql()[name])
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.text(min_size=1, max_size=3), st.floats(0.01, 100), min_size=1, max_size=12))
-def test_schedule_stays_within_one_block(weights):
-    parts = mixing.shares(weights, 97)
-    plan = mixing.one_cycle(parts)
-    assert sum(parts.values()) == 97 and [slot for _, _, slot in plan] == list(range(97))
-    done = dict.fromkeys(parts, 0)
-    for source, k, slot in plan:
-        assert k == done[source] and slot >= k * 97 // parts[source]
-        done[source] += 1
-        for s, p in parts.items():
-            assert abs(done[s] - (slot + 1) * p / 97) < 1
-    assert done == parts
+@settings(max_examples=80, deadline=None)
+@given(st.dictionaries(st.text(min_size=1, max_size=3), st.tuples(st.floats(0.001, 1000), st.integers(1, 60)), min_size=1, max_size=12))
+def test_schedule_stays_within_one_block_of_the_weights(given_):
+    weights, blocks = {s: w for s, (w, _) in given_.items()}, {s: n for s, (_, n) in given_.items()}
+    slots = mixing.schedule(weights, blocks)
+    assert {s: len(x) for s, x in slots.items()} == blocks
+    at = {slot: s for s, found in slots.items() for slot in found}
+    assert sorted(at) == list(range(sum(blocks.values())))
+    done, since, base, live = dict.fromkeys(blocks, 0), 0, dict.fromkeys(blocks, 0), set(blocks)
+    for slot in sorted(at):
+        done[at[slot]] += 1
+        total = sum(weights[s] for s in live)
+        for s in live:
+            assert abs(done[s] - base[s] - (slot + 1 - since) * weights[s] / total) < 1 + 1e-9
+        if done[at[slot]] == blocks[at[slot]]:
+            live, since, base = live - {at[slot]}, slot + 1, dict(done)
+
+
+def test_many_small_sources_do_not_take_a_large_ones_share():
+    weights = {"big": 0.5, **{f"s{i}": 0.001 for i in range(500)}}
+    slots = mixing.schedule(weights, {"big": 2000, **{f"s{i}": 4 for i in range(500)}})
+    assert abs(sum(x < 1000 for x in slots["big"]) - 500) < 1
+
+
+def test_many_sources(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 1500).alias("source"))
+    got = mixing.mix(docs, block_rows=1)
+    assert got.count() == 3000 and got.select("slot").distinct().count() == 3000
+    fewer = mixing.mix(docs, max_blocks=1500)
+    assert fewer.agg(F.max("slot")).first()[0] == 1499 and fewer.select("slot", "slot_row").distinct().count() == 3000
 
 
 def test_mix_keeps_every_row(spark):
-    rows = [(i, f"t{i}", None if i % 7 == 0 else "hot" if i % 3 else "b", "x") for i in range(500)] + [(3, "again", "b", "x"), (None, None, None, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot string")
-    got = mixing.mix(docs, block_rows=4, cycle=10)
-    assert got.columns == ["doc_id", "text", "source", "slot", "slot_row"] and got.count() == len(rows)
+    rows = [(i, f"t{i}", None if i % 7 == 0 else "hot" if i % 3 else "b", "x", i) for i in range(500)] + [(3, "again", "b", "x", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot string, rank long").withColumns({"_source": F.lit("u"), "_rank": F.lit(1), "_at": F.lit(2)})
+    got = mixing.mix(docs, block_rows=4)
+    assert got.columns == ["doc_id", "text", "source", "rank", "_source", "_rank", "_at", "slot", "slot_row"] and got.count() == len(rows)
     assert got.select("slot", "slot_row").distinct().count() == len(rows)
-    assert sorted(x.text or "" for x in mixing.interleave(docs.drop("slot")).collect()) == sorted(r[1] or "" for r in rows)
+    laid = mixing.interleave(docs)
+    assert laid.columns == docs.columns and sorted((x.text or "", x.slot or "") for x in laid.collect()) == sorted((r[1] or "", r[3] or "") for r in rows)
     assert mixing.mix(docs.where("false")).count() == 0
 
 
 def test_interleave_writes_the_schedule(spark, tmp_path):
     docs = spark.createDataFrame([(i, "a" if i % 4 else "b") for i in range(400)], "doc_id long, source string")
-    mixing.interleave(docs, weights={"a": 1, "b": 1}, block_rows=2, cycle=2).coalesce(1).write.parquet(str(tmp_path / "m"))
+    mixing.interleave(docs, weights={"a": 1, "b": 1}, block_rows=2).coalesce(1).write.parquet(str(tmp_path / "m"))
     order = [r.source for r in spark.read.parquet(str(tmp_path / "m")).collect()]
     assert order[:12] == ["a", "a", "b", "b"] * 3 and order[-1] == "a"
 
 
-def test_weights_must_cover_the_cycle():
+def test_weights_must_be_there(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, source string")
     with pytest.raises(ValueError):
-        mixing.shares({}, 10)
+        mixing.mix(docs, weights={"a": 1.0})
     with pytest.raises(ValueError):
-        mixing.shares({str(i): 1.0 for i in range(11)}, 10)
+        mixing.mix(docs, weights={"a": 1.0, "b": 0.0})
+    assert mixing.mix(docs, weights={"a": 1.0, "b": 2.0, "c": 3.0}).count() == 2
 
 
 def padding(cells, ends):
