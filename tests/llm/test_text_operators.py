@@ -86,16 +86,66 @@ def test_main_text():
     assert boilerplate.extract(None) == boilerplate.extract("") == boilerplate.extract("<p>") == ""
 
 
+GOOD_TEXT = "It was the best of the days that we had in the year, and there was not one of us who did not know it, for all of them were there to be with us at the end of the road that led to the sea and to the town."
+
+
 def test_main_text_without_article():
-    good = "It was the best of the days that we had in the year, and there was not one of us who did not know it, for all of them were there to be with us at the end of the road that led to the sea and to the town."
-    page = f"<body><div><a href='/'>Home</a> | <a href='/x'>News of the day</a></div><h1>A day</h1><p>{good}</p><p>We went.</p><p>{good}</p><div>Tags: <a>sea</a> <a>town</a></div></body>"
-    assert boilerplate.extract(page) == f"{good}\n\nWe went.\n\n{good}"
+    page = f"<body><div><a href='/'>Home</a> | <a href='/x'>News of the day</a></div><h1>A day</h1><p>{GOOD_TEXT}</p><p>We went.</p><p>{GOOD_TEXT}</p><p>The end.</p><footer>All of it</footer><div>Tags: <a>sea</a> <a>town</a></div></body>"
+    assert boilerplate.extract(page) == f"A day\n\n{GOOD_TEXT}\n\nWe went.\n\n{GOOD_TEXT}\n\nThe end."
+
+
+def test_a_teaser_in_an_article_does_not_hide_the_text():
+    page = f"<body><article><h2>More of this</h2><p>Only a teaser.</p></article><div><h1>A day</h1><p>{GOOD_TEXT}</p><p>{GOOD_TEXT}</p></div></body>"
+    assert f"A day\n\n{GOOD_TEXT}\n\n{GOOD_TEXT}" in boilerplate.extract(page)
+
+
+def test_link_lists_go_and_plain_tables_stay():
+    links = "".join(f"<li><a href='/{i}'>a headline of some length that links to another page {i}</a></li>" for i in range(5))
+    table = "<table><tr><td>12 | 13 | 14 | 15 | 16 | 17 | 18 | 19 | 20 | 21 | 22 | 23 | 24 | 25 | 26 | 27 | 28</td></tr></table>"
+    got = boilerplate.extract(f"<body><div><h1>T</h1><p>{GOOD_TEXT}</p>{table}<ul>{links}</ul><p>{GOOD_TEXT}</p></div></body>")
+    assert "headline" not in got and "27 | 28" in got and got.count(GOOD_TEXT) == 2
 
 
 def test_second_pass():
     g, n, s, b = boilerplate.GOOD, boilerplate.NEAR, boilerplate.SHORT, boilerplate.BAD
-    assert boilerplate.settle([g, s, g, s, b, s, b, n, g]) == [g, g, g, b, b, b, b, g, g]
-    assert boilerplate.settle([s, s]) == [b, b] and boilerplate.settle([]) == []
+
+    def settle(labels, scopes=None, up=(0,), headings=None, known=None):
+        size = len(labels)
+        return boilerplate.settle(labels, scopes or [0] * size, list(up), headings or [False] * size, known or [False] * size)
+
+    assert settle([g, s, g, s, b, s, b, n, g]) == [g, g, g, g, b, b, b, g, g]
+    assert settle([s, s]) == [s, s] and settle([]) == []
+    assert settle([b, s, g], headings=[False, True, False]) == [b, g, g]
+    # the own container counts before what is nearer outside it, and furniture does not lend its label
+    assert settle([g, s, s, b], [1, 1, 1, 2], [0, 0, 0]) == [g, g, g, b]
+    assert settle([b, s, g], known=[True, False, False]) == [b, g, g]
+
+
+def test_odd_pages_take_time_in_proportion():
+    import time
+
+    for odd in ("<a " * 350_000, "<div>" * 100_000 + "</p>" * 100_000, '<a "x>" ' * 120_000, "<button>" * 120_000, "<div>x" * 160_000, "<p>x" * 250_000, "<!--" * 250_000, "<" * 1_000_000):
+        began = time.process_time()
+        boilerplate.extract(odd)
+        assert time.process_time() - began < 4
+
+
+def test_main_text_of_odd_rows(spark):
+    rows = [(1, None, "t", "h"), (1, "", "t", "h"), (2, PAGE, None, "h"), (2, PAGE, None, "h"), (None, "no tags", "t", "h")]
+    pages = spark.createDataFrame(rows, "page_id long, html string, text string, _html string")
+    got = boilerplate.extract_text(pages)
+    assert got.columns == ["page_id", "_html", "text"] and got.count() == 5
+    texts = [r.text for r in got.collect()]
+    assert texts.count("") == 3 and texts.count(boilerplate.extract(PAGE)) == 2  # text without a heading or an article is not told from other text
+    assert boilerplate.extract_text(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["article", "div", None])
+def test_blocks_are_found_without_the_article_tag(spark, sf_dir, tag):
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    put = (f"<{tag}>", f"</{tag}>") if tag else ("", "")
+    for page in pages:
+        assert boilerplate.extract(page.replace("<article>", put[0]).replace("</article>", put[1])) == boilerplate.extract(page)
 
 
 def test_pages_query(spark, sf_dir):
