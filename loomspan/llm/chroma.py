@@ -2,9 +2,10 @@
 
 A signal's short-time spectra are folded into twelve pitch classes. Rectangle
 filters over the resulting image, summed with an integral image, are quantised to
-two bits each; sixteen of them make one 32-bit code for every frame position. Two
-recordings are aligned by the histogram of offsets at which their codes are
-equal, and judged by the bits in which overlapping codes differ at the best offset.
+two bits each; sixteen of them make one 32-bit code for every frame position. Every
+run of a few codes is a landmark. Two recordings that share landmarks are aligned by
+the histogram of the offsets between these, and judged by the bits in which their
+overlapping codes differ at the best offset.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ LOWEST, HIGHEST = 40.0, 3600.0
 BROADCAST_IDS = 1_000_000
 #: Quantiser steps of a filter's log ratio.
 STEPS = np.array([-0.12, 0.0, 0.12])
-#: Landmarks of a recording: the least hashes of its runs of codes.
-LANDMARKS, RUN = 32, 1
+#: Codes in a landmark.
+RUN = 4
 #: An alignment links two recordings from this overlap (codes, and share of the shorter) and up to this bit error rate.
 MIN_OVERLAP, MIN_SHARE, MAX_ERRORS = 8, 0.5, 0.25
 
@@ -113,53 +114,57 @@ def fingerprint(data: bytes | None, encoding: str = "u8", rate: int = RATE) -> n
     return codes_of(chroma_frames(decode(data or b"", encoding), rate))
 
 
-def landmarks(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, positions) of the recording's LANDMARKS least distinct runs of codes, each at its first place."""
-    n = len(codes) - RUN + 1
+def landmarks(codes: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, positions) of the recording's distinct runs of ``run`` codes, each at its first place.
+
+    A run of one and the same code is none: silence and steady sound lie against
+    each other at any offset, so they say nothing about where recordings match.
+    """
+    n = len(codes) - run + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = np.zeros(n, dtype=np.uint64)
-    for k in range(RUN):
-        h = (h + codes[k : k + n].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h, moves = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=bool)
+    for k in range(run):
+        part = codes[k : k + n]
+        moves |= part != codes[:n]
+        h = (h + part.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    values, first = np.unique(h * np.uint64(0xBF58476D1CE4E5B9), return_index=True)
-    return values[:LANDMARKS].view(np.int64), first[:LANDMARKS].astype(np.int64)
+    values, first = np.unique((h * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)[moves], return_index=True)
+    return values, np.flatnonzero(moves)[first]
+
+
+def overlap_errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
+    """(codes that overlap, bits in which these differ) where b's code i lies against a's code i - offset."""
+    low, high = max(0, offset), min(len(b), len(a) + offset)
+    if high <= low:
+        return 0, 0
+    return high - low, int(np.bitwise_count(a[low - offset : high - offset] ^ b[low:high]).sum(dtype=np.int64))
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
-    """(offset, votes, overlap, bit errors): b's code i lies against a's code i - offset.
+def align(a: np.ndarray, b: np.ndarray, run: int = RUN) -> tuple[int, int, int, int]:
+    """(offset, votes, overlap, bit errors): the offset between most shared landmarks, the least of equals; zeros if none is shared.
 
-    The offset with the most equal codes wins, the least of equals; a code that
-    both hold often is counted by one correlation instead of pair by pair.
+    This is what ``match_recordings`` computes for pairs from tables.
     """
-    if not len(a) or not len(b):
+    marks_a, at_a = landmarks(a, run)
+    marks_b, at_b = landmarks(b, run)
+    _, i, j = np.intersect1d(marks_a, marks_b, assume_unique=True, return_indices=True)
+    if not len(i):
         return 0, 0, 0, 0
-    votes = np.zeros(len(a) + len(b) - 1)
-    order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
-    values_a, start_a, count_a = np.unique(a[order_a], return_index=True, return_counts=True)
-    values_b, start_b, count_b = np.unique(b[order_b], return_index=True, return_counts=True)
-    both, at_a, at_b = np.intersect1d(values_a, values_b, assume_unique=True, return_indices=True)
-    size = 1 << (len(votes) - 1).bit_length()
-    for i, j in zip(at_a.tolist(), at_b.tolist(), strict=True):
-        x, y = order_a[start_a[i] : start_a[i] + count_a[i]], order_b[start_b[j] : start_b[j] + count_b[j]]
-        if len(x) * len(y) > 64 * size:
-            p, q = np.zeros(size), np.zeros(size)
-            p[len(a) - 1 - x], q[y] = 1, 1
-            votes += np.rint(np.fft.irfft(np.fft.rfft(p) * np.fft.rfft(q), size))[: len(votes)]
-        else:
-            votes += np.bincount((y[:, None] - x[None, :] + len(a) - 1).ravel(), minlength=len(votes))
-    offset = int(np.argmax(votes)) - (len(a) - 1)
-    low, high = max(0, offset), min(len(b), len(a) + offset)
-    differ = a[low - offset : high - offset] ^ b[low:high]
-    errors = int(np.unpackbits(differ.view(np.uint8)).sum())
-    return offset, int(votes.max()), high - low, errors
+    offsets, votes = np.unique(at_b[j] - at_a[i], return_counts=True)
+    best = int(np.argmax(votes))
+    return int(offsets[best]), int(votes[best]), *overlap_errors(a, b, int(offsets[best]))
+
+
+def is_match(overlap: int, errors: int, n_a: int, n_b: int) -> bool:
+    return overlap >= MIN_OVERLAP and overlap >= MIN_SHARE * min(n_a, n_b) and errors <= MAX_ERRORS * 32 * overlap
 
 
-_PRINTS = "rec_id bigint, n_codes int, hi bigint, lo bigint, codes array<int>, marks array<bigint>"
+_PRINTS = "rec_id bigint, n_codes int, hi bigint, lo bigint, codes array<int>"
 
 
 def fingerprints(recordings: DataFrame, key: str, audio: Column, encoding: str = "u8", rate: int = RATE) -> DataFrame:
-    """(rec_id, n_codes, 128-bit hash of the codes, codes, landmarks) of every row; null and too short audio has no codes."""
+    """(rec_id, n_codes, 128-bit hash of the codes, codes) of every row; null and too short audio has no codes."""
 
     def run(batches):
         for batch in pieces(batches, rows=1000, size=4 << 20, column="audio"):
@@ -172,43 +177,86 @@ def fingerprints(recordings: DataFrame, key: str, audio: Column, encoding: str =
                     pa.array([(h >> 64) - (1 << 63) for h in hashes], pa.int64()),
                     pa.array([(h & (1 << 64) - 1) - (1 << 63) for h in hashes], pa.int64()),
                     pa.array([c.view(np.int32) for c in found], pa.list_(pa.int32())),
-                    pa.array([landmarks(c)[0] for c in found], pa.list_(pa.int64())),
                 ],
-                ["rec_id", "n_codes", "hi", "lo", "codes", "marks"],
+                ["rec_id", "n_codes", "hi", "lo", "codes"],
             )
 
     rows = recordings.select(F.col(key).cast("long").alias("rec_id"), audio.cast("binary").alias("audio"))
     return rows.mapInArrow(run, _PRINTS)
 
 
-def aligned(pairs: DataFrame, prints: DataFrame) -> DataFrame:
-    """(a, b, offset, votes, overlap, bit_errors) for each pair, from both recordings' whole codes."""
+def marked(heads: DataFrame) -> DataFrame:
+    """(mark, rec_id, n_codes, pos): the landmarks of every recording."""
+
+    def run(batches):
+        for batch in batches:
+            codes = batch.column("codes")
+            values, ends = np.asarray(codes.flatten()).view(np.uint32), np.asarray(codes.offsets)
+            ends = ends - ends[0]
+            for at in range(0, batch.num_rows, 500):
+                some = range(at, min(at + 500, batch.num_rows))
+                found = [landmarks(values[ends[i] : ends[i + 1]]) for i in some]
+                counts = np.array([len(m) for m, _ in found])
+                ids, sizes = (np.asarray(batch.column(c))[at : at + 500] for c in ("rec_id", "n_codes"))
+                arrays = [np.concatenate([m for m, _ in found]), np.repeat(ids, counts), np.repeat(sizes, counts), np.concatenate([p for _, p in found]).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["mark", "rec_id", "n_codes", "pos"])
+
+    return heads.select("rec_id", "n_codes", "codes").mapInArrow(run, "mark bigint, rec_id bigint, n_codes int, pos int")
+
+
+def meeting(pairs: DataFrame, hits: DataFrame) -> DataFrame:
+    """(mark, a, n_a, pos_a, b, n_b, pos_b) for every landmark that both recordings of a pair hold."""
+    x, y = (hits.select("mark", *(F.col(c).alias(d) for c, d in (("rec_id", e), ("pos", f"pos_{e}"), ("n_codes", f"n_{e}")))) for e in "ab")
+    return pairs.join(x, "a").join(y, ["b", "mark"])
+
+
+def voted(met: DataFrame) -> DataFrame:
+    """(a, b, offset, votes, overlap) of each pair's best offset, from all landmarks at which they meet; pairs that cannot overlap enough go."""
+    counts = met.groupBy("a", "b", "n_a", "n_b", (F.col("pos_b") - F.col("pos_a")).alias("offset")).agg(F.count("*").alias("votes"))
+    best = counts.groupBy("a", "b", "n_a", "n_b").agg(F.max(F.struct("votes", (-F.col("offset")).alias("m"))).alias("s"))
+    best = best.select("a", "b", "n_a", "n_b", (-F.col("s.m")).cast("int").alias("offset"), F.col("s.votes").cast("int").alias("votes"))
+    overlap = F.least(F.col("n_b"), F.col("n_a") + F.col("offset")) - F.greatest(F.lit(0), F.col("offset"))
+    # the offset tells the overlap, so pairs with too little of it need no codes
+    return best.withColumn("overlap", overlap).where((F.col("overlap") >= MIN_OVERLAP) & (F.col("overlap") >= MIN_SHARE * F.least("n_a", "n_b")))
+
+
+def matching(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """(a, b, offset, votes, overlap, bit_errors) of the pairs whose codes differ in few enough bits at their offset."""
 
     def run(batches):
         for batch in batches:
-            rows = [
-                align(np.array(x, dtype=np.int32).view(np.uint32), np.array(y, dtype=np.int32).view(np.uint32))
-                for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
-            ]
-            cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *cols], ["a", "b", "offset", "votes", "overlap", "bit_errors"])
+            codes = [[np.array(v, dtype=np.int32).view(np.uint32) for v in batch.column(c).to_pylist()] for c in "xy"]
+            errors = [overlap_errors(x, y, o)[1] for x, y, o in zip(*codes, batch.column("offset").to_pylist(), strict=True)]
+            keep = pa.array([e <= MAX_ERRORS * 32 * n for e, n in zip(errors, batch.column("overlap").to_pylist(), strict=True)], pa.bool_())
+            kept = [*(batch.column(c) for c in ("a", "b", "offset", "votes", "overlap")), pa.array(errors, pa.int64())]
+            yield pa.RecordBatch.from_arrays(kept, ["a", "b", "offset", "votes", "overlap", "bit_errors"]).filter(keep)
 
-    a = prints.select(F.col("rec_id").alias("a"), F.col("codes").alias("x"))
-    b = prints.select(F.col("rec_id").alias("b"), F.col("codes").alias("y"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, offset int, votes int, overlap int, bit_errors bigint")
+    # repeated rows of a recording are the same to the bit, so the first to come will do
+    ids = pairs.select(F.col("a").alias("rec_id")).unionByName(pairs.select(F.col("b").alias("rec_id"))).distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    needed = heads.join(F.broadcast(ids) if few else ids, "rec_id", "left_semi").select("rec_id", "codes").dropDuplicates(["rec_id"])
+    a, b = (needed.select(F.col("rec_id").alias(end), F.col("codes").alias(side)) for end, side in ("ax", "by"))
+    rows = pairs.join(a, "a").join(b, "b").select("a", "b", "offset", "votes", "overlap", "x", "y")
+    return rows.mapInArrow(run, "a bigint, b bigint, offset int, votes int, overlap int, bit_errors bigint")
 
 
 def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: str = "u8", rate: int = RATE) -> DataFrame:
     """One row for each distinct id: n_codes, component_id, and the best alignment (ref_id, offset, votes, overlap, bit_errors).
 
-    Recordings with equal codes form a class, whose least id stands for it. A
-    class is aligned with the first class at each of its landmarks, so there are
-    at most LANDMARKS alignments for each class, however many share a landmark; it
-    is linked to those with enough overlap and few bit errors, and its reference
-    is the one with the most votes (the least id of equals; null if none).
-    Recordings without codes (null, empty or shorter than a code's frames) are
-    linked with nothing. Rows that share an id count as one, the one with the
-    least hash; rows without an id are left as they are, with null component.
+    Recordings are linked if they share a landmark (RUN equal codes in a row, not
+    all the same) and, at the offset between most of their shared landmarks,
+    enough codes overlap and few enough bits differ. Components are those of
+    all such links, found without comparing pairs that are connected already:
+    recordings with equal codes form a class, whose least id stands for it; each
+    class is aligned with the first class at the landmarks that they share, best
+    one first, and then, where components still differ, with every class that it
+    shares a landmark with. The reference is the linked recording with a smaller
+    id, among those it was aligned with, that has most votes (the least id of
+    equals; null if none). Recordings without codes (null, empty or shorter
+    than a code's frames) are linked with nothing. Rows that share an id count
+    as one, the one with the least hash; rows without an id are left as they
+    are, with null component. Other columns are not read; an empty table gives
+    an empty result.
     """
     scratch = Scratch(recordings.sparkSession, "chroma")
     prints = scratch.keep(fingerprints(recordings, key, audio, encoding, rate))
@@ -219,21 +267,33 @@ def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: s
     others = scratch.keep(others.join(classes.select(F.col("root").alias("rec_id"), "hi", "lo"), ["rec_id", "hi", "lo"], "left_anti"))
     few = others.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     heads = prints.where("rec_id is not null and n_codes > 0").join(F.broadcast(others) if few else others, ["rec_id", "hi", "lo"], "left_anti")
-    marks = heads.select("rec_id", F.explode("marks").alias("mark"))
-    first = marks.groupBy("mark").agg(F.min("rec_id").alias("a"), F.max("rec_id").alias("last")).where("a < last").select("mark", "a")
-    pairs = marks.join(scratch.keep(first), "mark").where("rec_id > a").select("a", F.col("rec_id").alias("b")).distinct()
-    found = scratch.keep(aligned(scratch.keep(pairs), heads.select("rec_id", "codes")).distinct())
-    sizes = classes.select("root", "n_codes")
-    close = (
-        found.join(sizes.select(F.col("root").alias("a"), F.col("n_codes").alias("n_a")), "a")
-        .join(sizes.select(F.col("root").alias("b"), F.col("n_codes").alias("n_b")), "b")
-        .where((F.col("overlap") >= MIN_OVERLAP) & (F.col("overlap") >= MIN_SHARE * F.least("n_a", "n_b")) & (F.col("bit_errors") <= MAX_ERRORS * 32 * F.col("overlap")))
-        .select("a", "b", "offset", "votes", "overlap", "bit_errors")
+    marks = marked(heads)
+    first = scratch.keep(marks.groupBy("mark").agg(F.min("rec_id").alias("a"), F.max("rec_id").alias("last")).where("a < last").select("mark", "a"))
+    small = first.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    hits = marks.join(F.broadcast(first) if small else first, "mark").groupBy("mark", "a", "rec_id").agg(F.min("pos").alias("pos"), F.min("n_codes").alias("n_codes"))
+    hits = scratch.keep(hits)
+    stars = scratch.keep(hits.where("rec_id != a").groupBy("a", F.col("rec_id").alias("b")).agg(F.count("*").alias("shared")))
+    # round 1: each class with the hub of most of its marks; round 2: with its other hubs, where not connected yet
+    once = scratch.keep(stars.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("m"))).alias("s")).select((-F.col("s.m")).alias("a"), "b"))
+    links = scratch.keep(matching(scratch.keep(voted(meeting(once, hits))), heads))
+    label = components(links, label="chroma-round")
+    more = apart(stars.select("a", "b").join(once, ["a", "b"], "left_anti"), label)
+    links = scratch.keep(links.unionByName(matching(scratch.keep(voted(meeting(scratch.keep(more), hits))), heads)))
+    # round 3: what shares a mark across components
+    label = components(links, label="chroma-round")
+    placed = hits.join(label.select(F.col("id").alias("rec_id"), "component"), "rec_id", "left").select(
+        "mark", "rec_id", "pos", "n_codes", F.col("a").alias("hub"), F.coalesce("component", "rec_id").alias("part")
     )
-    close = scratch.keep(close)
-    best = close.groupBy("b").agg(F.max(F.struct("votes", (-F.col("a")).alias("m"), "offset", "overlap", "bit_errors")).alias("s"))
+    mixed = placed.groupBy("mark").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select("mark")
+    placed = scratch.keep(placed.join(mixed, "mark", "left_semi"))
+    x, y = (placed.select("mark", "hub", *(F.col(c).alias(d) for c, d in (("rec_id", e), ("pos", f"pos_{e}"), ("n_codes", f"n_{e}"), ("part", f"part_{e}")))) for e in "ab")
+    # hubs have been aligned with all others at their marks
+    meet = x.join(y.drop("hub"), "mark").where("a < b and part_a != part_b and a != hub")
+    across = voted(meet.drop("hub", "part_a", "part_b")).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    links = scratch.keep(links.unionByName(matching(scratch.keep(across), heads)))
+    best = links.groupBy("b").agg(F.max(F.struct("votes", (-F.col("a")).alias("m"), "offset", "overlap", "bit_errors")).alias("s"))
     best = best.select(F.col("b").alias("root"), (-F.col("s.m")).alias("ref_id"), "s.offset", "s.votes", "s.overlap", "s.bit_errors")
-    roots = components(close, label="chroma-components").withColumnRenamed("id", "root")
+    roots = components(links, label="chroma-components").withColumnRenamed("id", "root")
     members = ids.join(classes, ["hi", "lo", "n_codes"], "left").join(best, "root", "left").join(roots, "root", "left")
     none = F.lit(None)
     lonely = prints.where("rec_id is null").select(
@@ -242,6 +302,13 @@ def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: s
     return members.select("rec_id", "n_codes", F.coalesce("component", "root", "rec_id").alias("component_id"), "ref_id", "offset", "votes", "overlap", "bit_errors").unionByName(lonely)
 
 
+def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components so far."""
+    ends = [label.select(F.col("id").alias(end), F.col("component").alias(f"part_{end}")) for end in "ab"]
+    joined = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return joined.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select(pairs.columns)
+
+
 def query(docs: DataFrame) -> DataFrame:
     """The tables hold no sound, so every document's UTF-8 bytes are heard as 8-bit PCM."""
     return match_recordings(docs.select("doc_id", "text"), "doc_id", F.col("text")).withColumnRenamed("rec_id", "doc_id")
