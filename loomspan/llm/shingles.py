@@ -41,8 +41,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words of all texts, in order; for each text the index of its first word, and one end)."""
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all words of all texts, in order; for each text the index of its first word, and one end; bytes; words' starts and stops in them)."""
     sizes = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     n = len(data)
@@ -54,7 +54,12 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers[:n])])
     hashes = mix64((sums[stops] - sums[starts]) * _backs[starts] + (stops - starts).astype(np.uint64))
     first_byte = np.concatenate([[0], np.cumsum(sizes + 1)])
-    return hashes, np.searchsorted(starts, first_byte)
+    return hashes, np.searchsorted(starts, first_byte), data, starts, stops
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of all texts, in order; for each text the index of its first word, and one end)."""
+    return word_spans(texts)[:2]
 
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:

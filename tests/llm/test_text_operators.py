@@ -359,16 +359,133 @@ def test_score_edges(spark):
     assert repeated.score > repeated.base_score
 
 
-def test_next_symbol_probabilities_sum_to_one():
-    root = np.full(suffixlm.FIRST + 3, 1e-300)
-    root[1 : suffixlm.FIRST] = 0.4 / suffixlm.CLASSES
-    root[suffixlm.FIRST :] = 0.2
-    a = suffixlm.FIRST
-    tree = suffixlm.Tree(root, {a: {a + 1: 8, a + 2: 2}}, {(a << suffixlm.BITS) | a: {a + 2: 9}}, {(1, a): 10, (2, (a << suffixlm.BITS) | a): 9})
-    for before in ([a + 1, a + 1], [a + 1, a], [a, a]):
-        p = [10 ** tree.score(np.array([*before, s]))[0] for s in range(1, len(root))]
-        assert sum(p) == pytest.approx(1, abs=1e-9)
-    assert tree.states(np.array([a]), np.array([a])).tolist() == [2] and tree.states(np.array([a + 1]), np.array([a])).tolist() == [1]
+class TreeByHand:
+    """The suffix tree by its definitions, over symbol sequences (start, words..., end) of the training texts."""
+
+    def __init__(self, texts, s):
+        c = collections.Counter(w for t in texts for w in t)
+        self.n, self.v, self.s, self.c = sum(c.values()), len(c), s, c
+        self.base = self.n + self.v + 1
+        self.mass = collections.Counter({k: 1 / suffixlm.CLASSES for k in range(suffixlm.CLASSES)})
+        for w, m in c.items():
+            if self.symbol(w) != w:
+                self.mass[self.symbol(w)] += m + 1
+        rows = [["START", *map(self.symbol, t)] for t in texts]
+        self.next = collections.defaultdict(collections.Counter)
+        for row in rows:
+            for j in range(1, len(row)):
+                for d in range(1, min(s.depth, j) + 1):
+                    self.next[tuple(row[j - d : j])][row[j]] += 1
+        self.total = {x: sum(f.values()) for x, f in self.next.items()}
+        self.stored = {x: {y: m for y, m in f.items() if m >= s.min_pair} for x, f in self.next.items()}
+        self.states = set()
+        for x in self.next:
+            if self.total[x] >= s.min_context and self.divergence(x) >= s.min_divergence:
+                self.states.update(x[i:] for i in range(len(x)))
+
+    def symbol(self, w):
+        return w if w == b"\n" or self.c[w] >= self.s.min_symbol else self.kind(w)
+
+    @staticmethod
+    def kind(w):
+        laid = suffixlm.lay([w])
+        return int(laid.classes[1]) - 2
+
+    def root(self, y):
+        return (self.mass[y] if isinstance(y, int) else self.c[y] + 1) / self.base
+
+    def divergence(self, x):
+        kl = p_all = q_all = 0.0
+        for y, m in self.stored[x].items():
+            p = m / self.total[x]
+            q = self.root(y) if len(x) == 1 else self.next[x[1:]][y] / self.total[x[1:]]
+            kl, p_all, q_all = kl + p * math.log(p / q), p_all + p, q_all + q
+        if not self.stored[x]:
+            return -1.0
+        if p_all < 1 - 1e-9:
+            kl += max(1 - p_all, 1e-12) * math.log(max(1 - p_all, 1e-12) / max(1 - q_all, 1e-12))
+        return kl - len(self.stored[x]) / (2 * self.total[x])
+
+    def prob(self, x, y):
+        """Of the symbol y in the state x."""
+        if not x:
+            return self.root(y)
+        stored, total, less = self.stored[x], self.total[x], self.s.discount
+        rest = (total - sum(stored.values()) + less * len(stored)) / total if stored else 1.0
+        return (max(stored.get(y, 0) - less, 0) if y in stored else 0) / total + rest * self.prob(x[1:], y)
+
+    def state(self, before):
+        """The longest suffix of what precedes that is a state."""
+        while before and tuple(before) not in self.states:
+            before = before[1:]
+        return tuple(before)
+
+    def score(self, t):
+        row, out = ["START", *map(self.symbol, t)], 0.0
+        for j, w in enumerate(t, start=1):
+            y = row[j]
+            out += math.log10(self.prob(self.state(row[max(0, j - self.s.depth) : j]), y))
+            if isinstance(y, int):
+                out += math.log10((self.c[w] + 1) / self.base / self.root(y))
+        return out
+
+
+def tokens_by_hand(text):
+    return (text or "").encode().lower().split() + [b"\n"]
+
+
+SMALL = suffixlm.Settings(depth=4, min_symbol=12, min_context=6, min_pair=2)
+
+
+@pytest.mark.parametrize("limits", [{}, {"held_pairs": 200, "known_share": 1e-2}, {"held_pairs": 0, "filter_bits": 8, "min_divergence": 0.2}, {"depth": 2}, {"depth": 5, "min_pair": 6}])
+def test_scores_against_a_tree_by_hand(spark, sf_dir, limits):
+    s = SMALL._replace(**limits)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 20000")
+    texts = {r.doc_id: tokens_by_hand(r.text) for r in docs.collect()}
+    tree = TreeByHand([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2], s)
+    assert sum(len(x) == min(3, s.depth) for x in tree.states) > 3
+    got = suffixlm.query(docs, s).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.score == pytest.approx(tree.score(texts[r.doc_id]), rel=1e-6)
+
+
+def test_next_symbol_probabilities_sum_to_one(spark, sf_dir):
+    texts = [tokens_by_hand(r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
+    tree = TreeByHand(texts, SMALL)
+    words = {tree.symbol(w) for w in tree.c} | set(range(suffixlm.CLASSES))
+    for x in sorted(tree.states, key=str)[:40]:
+        assert sum(tree.prob(x, y) for y in words) == pytest.approx(1, abs=1e-9)
+
+
+def test_a_larger_corpus_has_a_larger_tree(spark):
+    """Twice the texts, of other words: about twice the states and pairs, and none of the first is lost."""
+    from loomspan.plans.scratch import Scratch
+
+    rng = np.random.default_rng(5)
+    sizes = []
+    for parts in (1, 2):
+        rows = []
+        for part in range(parts):
+            words = [f"w{part}x{i}" for i in range(30)]
+            after = rng.integers(0, 30, (30, 2))
+            for _ in range(60):
+                w, out = 0, []
+                for _ in range(80):
+                    out.append(words[w])
+                    w = int(after[w][rng.integers(0, 2)])
+                rows.append((len(rows), " ".join(out)))
+        model, _, _ = suffixlm.learn(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t"), SMALL)
+        sizes.append((sum(int(x.sum()) for x in model.tree.is_state), len(model.tree.pairs)))
+    assert all(b > 1.5 * a for a, b in zip(*sizes, strict=True))
+
+
+def test_long_texts_and_repeated_rows_are_scored(spark):
+    long = "the cat sat on the mat and the dog sat on the log " * 60_000
+    rows = [(7, long, "x"), (7, long, "y"), (2, "the cat", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").withColumns({"kind": F.lit("k"), "h": F.lit(1)})
+    got = sorted(suffixlm.query(docs).collect(), key=lambda r: r.n_tokens)
+    assert [r.n_tokens for r in got] == [3, 780_001, 780_001] and got[1].score == pytest.approx(got[2].score) and got[1].score > got[1].base_score
 
 
 def vectors(rng, n, copies, near):
