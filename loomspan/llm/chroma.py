@@ -207,7 +207,8 @@ def marked(heads: DataFrame) -> DataFrame:
 def meeting(pairs: DataFrame, hits: DataFrame) -> DataFrame:
     """(mark, a, n_a, pos_a, b, n_b, pos_b) for every landmark that both recordings of a pair hold."""
     x, y = (hits.select("mark", *(F.col(c).alias(d) for c, d in (("rec_id", e), ("pos", f"pos_{e}"), ("n_codes", f"n_{e}")))) for e in "ab")
-    return pairs.join(x, "a").join(y, ["b", "mark"])
+    # by b first: a hub's landmarks are then looked up, not repeated for each of its pairs
+    return pairs.join(y, "b").join(x, ["a", "mark"])
 
 
 def voted(met: DataFrame) -> DataFrame:
