@@ -1,6 +1,7 @@
 import base64
 import collections
 import math
+import os
 import re
 import zlib
 
@@ -512,12 +513,64 @@ def test_vectors_against_brute_force(spark):
     assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in got} == {(i, degree[i], parts[i], parts[i] == i) for i in parts}
 
 
+def links_by_hand(rows):
+    """(vec_id -> number of links, vec_id -> least reachable) over all pairs of one label, in blocks."""
+    by = collections.defaultdict(list)
+    for i, v, k in rows:
+        if v is not None and k is not None and len(v) and np.isfinite(v).all() and np.any(v):
+            by[k, len(v)].append(i)
+    value, degree, links = {i: v for i, v, _ in rows}, collections.Counter(), []
+    for ids in by.values():
+        x = np.array([value[i] for i in ids], dtype=np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        for at in range(0, len(ids), 500):
+            near = x[at : at + 500] @ x.T >= vecdup.THRESHOLD
+            for p, q in zip(*np.nonzero(near), strict=True):
+                if at + p < q:
+                    links.append((ids[at + p], ids[q]))
+    for i, j in links:
+        degree[i] += 1
+        degree[j] += 1
+    return links, degree, least_reachable([r[0] for r in rows], links)
+
+
+@pytest.mark.parametrize("sf", ["sf0.1", "check_s"])
+def test_all_links_of_the_embeddings_are_found(spark, sf):
+    if not os.path.exists(f"/root/testdata/{sf}/embeddings.parquet"):
+        pytest.skip("no such table here")
+    table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    rows = [(r.vec_id, np.array(r.embedding), r.label) for r in table.collect()]
+    links, degree, parts = links_by_hand(rows)
+    got = vecdup.query(table).collect()
+    assert (links or sf == "sf0.1") and {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, degree[i], parts[i]) for i in parts}
+
+
+def test_buckets_of_many_tiles(spark, monkeypatch):
+    """Two large groups of near vectors and copies among them, cut into tiles of 40 rows."""
+    monkeypatch.setattr(vecdup, "TILE_ROWS", 40)
+    rng = np.random.default_rng(8)
+    a, b = rng.standard_normal((2, 64))
+    rows = [(i, (a if i % 2 else b) + rng.standard_normal(64) * 0.12, i % 3) for i in range(500)]
+    rows += [(500 + i, rows[i][1].copy(), rows[i][2]) for i in range(0, 100, 7)]
+    links, degree, parts = links_by_hand(rows)
+    got = vecdup.query(spark.createDataFrame([(i, [float(x) for x in v], k) for i, v, k in rows], "vec_id long, embedding array<double>, label int")).collect()
+    found = {r.vec_id: r for r in got}
+    assert len(links) > 10_000 and sum(r.n_links for r in got) >= 0.999 * 2 * len(links)
+    assert all(r.n_links <= degree[i] and r.component_id == parts[i] for i, r in found.items())
+
+
 def test_vector_edges(spark):
     rows = spark.createDataFrame([(1, [1.0, 2.0], 1), (1, [1.0, 2.0], 1), (None, [1.0, 2.0], 1)], "vec_id long, embedding array<float>, label int")
     assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in vecdup.query(rows).collect()} == {(1, 0, 1, True), (None, 0, None, True)}
     assert vecdup.query(rows.where("false")).count() == 0
 
 
+def test_repeated_ids_do_not_depend_on_the_order(spark):
+    rows = [(1, [1.0, 2.0, 0.5], 1), (2, [1.0, 2.0, 0.5], 1), (2, [-1.0, 2.0, 0.5], 1), (3, [-1.0, 2.0, 0.5], 1)]
+    got = [{(r.vec_id, r.n_links, r.component_id) for r in vecdup.query(spark.createDataFrame(x, "vec_id long, embedding array<float>, label int").repartition(n)).collect()} for x, n in ((rows, 1), (rows[::-1], 1), (rows, 3))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 3
+
+
 def test_code_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((400, 64))
@@ -529,6 +582,8 @@ def test_code_estimates_are_unbiased_and_bounded():
     planes = np.unpackbits(b["planes"].view(np.uint8), bitorder="little").reshape(400, vecdup.PLANES, 64)
     common = sum((1 << j) * (bits & planes[:, j]).sum(axis=1) for j in range(vecdup.PLANES))
     est = (2 * (b["low"] * a["ones"] + b["step"] * common) - b["base"]) * a["scale"]
+    whole, bounds = vecdup.estimate(a["code"].view(np.uint64), b["planes"].view(np.uint64), *(np.stack([c[t] for t in vecdup._FLOATS], axis=1) for c in (a, b)))
+    assert np.allclose(np.diag(whole), est, atol=1e-5) and np.allclose(np.diag(bounds), a["bound"] + b["blur"] * a["scale"])
     err = est - (x * y).sum(axis=1)
     assert abs(err.mean()) < 0.02 and (np.abs(err) <= a["bound"] + b["blur"] * a["scale"]).all()
 
