@@ -133,7 +133,24 @@ def _sql_resolved() -> str:
     elected AS (SELECT v.g, members, coalesce(s, y, h, c, r) AS canonical_name FROM votes v LEFT JOIN usual u ON u.g = v.g),
     log AS (SELECT entity_id, raw_name, canonical_name, entity_type,
         CASE WHEN seed IS NOT NULL THEN 'SEED_LIST_MATCH' WHEN members = 1 THEN 'CANONICAL_SINGLETON' WHEN lower(clean_name) = lower(canonical_name) THEN 'EXACT_NORMALIZED' ELSE 'FUZZY_CONFIDENT' END AS match_method,
-        source_name, source_url FROM grouped JOIN elected USING (g))"""
+        CASE WHEN match_method = 'FUZZY_CONFIDENT' THEN 0.95::DOUBLE ELSE 1.0::DOUBLE END AS confidence, source_name, source_url, {_sql_why()} AS explanation FROM grouped JOIN elected USING (g))"""
+
+
+def _sql_why() -> str:
+    """The explanation of a row of the mapping log, from members, seed, clean_name and canonical_name."""
+    named = "'{}''' || {} || '''{}'".format
+    return (
+        f"CASE WHEN members = 1 AND seed IS NOT NULL THEN {named('Matched Tier 0 AI Startup Seed List canonical ', 'seed', '')} WHEN members = 1 THEN 'Unique entity representation' "
+        f"WHEN seed IS NOT NULL THEN {named('Merged into Seed List canonical ', 'canonical_name', '')} "
+        f"WHEN lower(clean_name) = lower(canonical_name) THEN {named('Identical to canonical entity name ', 'canonical_name', '')} "
+        f"ELSE {named('Resolved to canonical entity ', 'canonical_name', ' via cluster similarity')} END"
+    )
+
+
+def _sql_pieces(x: str) -> str:
+    """The pieces of text between tags, with the character references that the pages hold decoded, without white space around them and without empty ones."""
+    decoded = "regexp_replace(replace(replace(replace(t, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
+    return f"list_filter(list_transform(string_split_regex({x}, '<[^>]*>'), lambda t: regexp_replace({decoded}, '^\\s+|\\s+$', '', 'g')), lambda t: t <> '')"
 
 
 def _sql_pricing(x: str) -> str:
@@ -247,12 +264,65 @@ def similarity_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def connected_components(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _t(spark, sf, "customer").where(F.col("c_nationkey") % 5 != 0)
-    return components(rows.select(F.col("c_custkey").alias("a"), (F.col("c_custkey") + 1).alias("b")))
+    """Each customer linked with the next one; where a nation's key is divisible by five the link has no end."""
+    rows = _t(spark, sf, "customer")
+    return components(rows.select(F.col("c_custkey").alias("a"), F.when(F.col("c_nationkey") % 5 != 0, F.col("c_custkey") + 1).alias("b")))
 
 
 def entity_resolution(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.resolve(resolve.scoped_entities(_tables(spark, sf))).select("entity_id", "raw_name", "canonical_name", "entity_type", "match_method", "source_name", "source_url")
+    return resolve.resolve(resolve.scoped_entities(_tables(spark, sf)))
+
+
+def resolution_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """Names that only the fuzzy tier or an arbiter's decision can join: long names in pairs that differ in one letter, and short ones in pairs of two words of which the second differs."""
+    part = _t(spark, sf, "part").select("p_partkey").distinct().withColumn("j", F.floor(F.col("p_partkey") / 2).cast("string"))
+    odd = F.col("p_partkey") % 2 == 1
+
+    def digest(*more: str | Column) -> Column:
+        return F.md5(F.concat("j", *[F.lit(x) if isinstance(x, str) else x for x in more]).cast("binary"))
+
+    long = F.concat(digest("a"), F.lit(" "), digest("b"), F.when(odd, F.lit("x")).otherwise(F.lit("y")))
+    short = F.concat(digest("c"), F.lit(" "), F.substring(digest(F.when(odd, F.lit("d")).otherwise(F.lit("e"))), 1, 8))
+    rows = part.select("j", F.col("p_partkey").cast("long").alias("id"), F.array(long, short).alias("names"))
+    entities = rows.select("id", F.posexplode("names").alias("k", "raw_name")).select(
+        (F.col("id") * 2 + F.col("k")).alias("entity_id"), "raw_name", F.lit("JOB").alias("entity_type"), F.lit("Job Board").alias("source_name"), F.lit("https://names.example").alias("source_url")
+    )
+    pairs = rows.groupBy("j").agg(F.min(F.col("names")[1]).alias("clean_a"), F.max(F.col("names")[1]).alias("clean_b")).where("clean_a != clean_b")
+    decisions = pairs.select("clean_a", "clean_b", (F.col("j").cast("long") % 2 == 0).alias("is_same"))
+    return resolve.resolve(entities, decisions).select("entity_id", "raw_name", "canonical_name", "match_method", "confidence", "explanation")
+
+
+def mappings_like(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.mappings_like(entity_resolution(spark, sf), "AI")
+
+
+def saved_total(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.saved_total(stage_metrics(spark, sf))
+
+
+def insert_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 25 rows of a source that are saved."""
+    events = _events(spark, sf).select("event_id", "user_id", "event_type", "value", "ts")
+    new, old = events.where("ts >= '2024-01-03'").drop("ts"), events.where("ts < '2024-01-03'")
+    return ingest.insert_ignore(new, ["user_id", "event_type"], ["value"], "event_id", old, limit=25)
+
+
+def authors_json(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _t(spark, sf, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("names"))
+    return rows.select("n_regionkey", text.authors_json(F.when(F.col("n_regionkey") < 4, F.col("names"))).alias("authors"))
+
+
+def save_resolve_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Startups, products and jobs saved twice, read back, resolved, logged and read as the log's tab."""
+    found, root, at = _tables(spark, sf), Scratch(spark, "saved").root, F.lit(NOW).cast("timestamp")
+    none = F.lit(None).cast("string")
+    found["jobs"] = found["jobs"].withColumns({"source_name": F.lit(""), "title": none, "published_date": at, "is_remote": F.lit(True), "role_family": none, "job_url": F.col("source_url"), "description": none})
+    for name, rows in found.items():
+        for _ in range(2):
+            ingest.save(rows, name, f"{root}/{name}", "id", at)
+    saved = {name: spark.read.parquet(f"{root}/{name}") for name in found}
+    resolve.save_mappings(resolve.resolve(resolve.scoped_entities(saved)), f"{root}/log", at)
+    return export.tab(spark.read.parquet(f"{root}/log"), "entity_mapping_log")
 
 
 def canonical_election(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,7 +438,8 @@ def author_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich_join(spark: SparkSession, sf: str) -> DataFrame:
-    stars = _t(spark, sf, "customer").where("c_custkey % 3 != 0").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+    """Orders with their customers; every third customer's key is unknown."""
+    stars = _t(spark, sf, "customer").select(F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("o_custkey"), "c_name", "c_nationkey")
     return ingest.enrich(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"), stars, "o_custkey", ["c_name", "c_nationkey"])
 
 
@@ -404,7 +475,7 @@ def _export_input(spark: SparkSession, sf: str, table: str) -> DataFrame:
             none.alias("author"), F.lit("").alias("summary"), F.col("text").alias("full_text"), F.when(F.col("doc_id") % 3 == 0, F.lit("SUMMARY")).alias("content_type"), when.alias("collected_at"),
         )
     log = resolve.resolve(resolve.scoped_entities(_tables(spark, sf)))
-    return log.withColumn("resolved_at", when).withColumnRenamed("entity_id", "id").drop("explanation").withColumn("explanation", none)
+    return log.withColumn("resolved_at", when).withColumnRenamed("entity_id", "id")
 
 
 def nested_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -448,7 +519,7 @@ TABS = ("startups", "products", "research_papers", "jobs", "news", "entity_mappi
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = [
         freshness_filter, first_seen_state, insert_ignore, union_scoped, table_counts, recent_rows, stage_metrics, parse_dates, normalize_entity, seed_matches, blocking_pairs, blocking_prefix_cap, similarity_scores,
-        connected_components, entity_resolution, canonical_election, mapping_summary, compression, variant_clusters, pair_reduction, role_family_hiring, relevance_filter, pricing_models, team_sizes, header_fields,
+        connected_components, entity_resolution, resolution_tiers, mappings_like, saved_total, insert_limited, authors_json, save_resolve_export, canonical_election, mapping_summary, compression, variant_clusters, pair_reduction, role_family_hiring, relevance_filter, pricing_models, team_sizes, header_fields,
         chunk_html, chunk_comment, chunk_article, page_titles, article_paragraphs, page_texts, hiring_posts, url_rules, category_slugs, json_replies, author_lists, enrich_join, nested_records, stream_first_seen, stream_insert_ignore,
     ]
     out = {f.__name__: f for f in plain}
@@ -498,7 +569,7 @@ def oracle_sql() -> dict[str, str]:
             r AS (SELECT id_a, id_b, 200.0 * {_sql_lcs('a', 'b')} / (length(a) + length(b)) AS ratio, 200.0 * {_sql_lcs('ta', 'tb')} / (length(ta) + length(tb)) AS token_sort FROM s)
             SELECT id_a, id_b, round(ratio, 6) AS ratio, round(token_sort, 6) AS token_sort, CASE WHEN token_sort >= 98 AND ratio >= 98 THEN 2 WHEN token_sort >= 75 AND token_sort < 98 THEN 3 END AS tier FROM r""",
         "connected_components": """
-            WITH l AS (SELECT c_custkey AS a FROM customer WHERE c_nationkey % 5 <> 0), v AS (SELECT a AS id FROM l UNION SELECT a + 1 FROM l),
+            WITH c AS (SELECT c_custkey AS a, CASE WHEN c_nationkey % 5 <> 0 THEN c_custkey + 1 END AS b FROM customer), l AS (SELECT a FROM c WHERE b IS NOT NULL), v AS (SELECT a AS id FROM l UNION SELECT a + 1 FROM l),
             s AS (SELECT id, CASE WHEN id - 1 IN (SELECT a FROM l) THEN 0 ELSE 1 END AS fresh FROM v), g AS (SELECT id, sum(fresh) OVER (ORDER BY id) AS g FROM s)
             SELECT id, min(id) OVER (PARTITION BY g) AS component FROM g""",
         "entity_resolution": f"WITH {_sql_resolved()} SELECT * FROM log",
@@ -535,7 +606,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT regexp_extract(href, '^/([a-z0-9][\w.-]*)-alternatives$', 1) AS slug FROM h WHERE slug NOT IN ('', 'best')""",
         "json_replies": "SELECT event_id, CASE WHEN event_id % 4 < 3 THEN props END AS reply FROM events",
         "author_lists": "SELECT n_regionkey, string_agg(n_name, '; ' ORDER BY n_name) AS authors FROM nation GROUP BY 1",
-        "enrich_join": "SELECT o_orderkey, o_custkey, c_name, c_nationkey FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON c_custkey = o_custkey",
+        "enrich_join": "SELECT o_orderkey, o_custkey, c_name, c_nationkey FROM orders LEFT JOIN (SELECT *, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k FROM customer) ON k = o_custkey",
         "nested_records": f"""WITH {_sql_tables()} SELECT to_json({{'schemaVersion': '1.0', 'recordType': 'STARTUP', 'source': {{'name': source_name, 'url': source_url}},
             'content': {{'entityName': entity_name, 'data': {{'employeeCount': CASE WHEN id % 4 <> 0 THEN employee_count END}}}}, 'collectedAt': '2024-01-30T00:00:00Z'}})::VARCHAR AS value FROM startups""",
         "stream_first_seen": f"SELECT user_id::VARCHAR AS url, {iso('min(ts)')} AS first_seen_at FROM events WHERE user_id IS NOT NULL GROUP BY 1",
@@ -552,8 +623,37 @@ def oracle_sql() -> dict[str, str]:
             head("NEWS", "coalesce(source, '')") | {"source.url": "''", "content.title": "coalesce(lang, '')", "content.url": "'https://news.example/' || doc_id", "content.published_date": at, "content.author": "''", "content.summary": "''", "content.full_text": cut(1000),
             "content.content_type": "CASE WHEN doc_id % 3 = 0 THEN 'SUMMARY' ELSE 'FULL_TEXT' END", "collectedAt": at}, "documents"),
         "export_entity_mapping_log": f"WITH {_sql_resolved()} " + tab(
-            {c: c for c in ("raw_name", "canonical_name", "entity_type", "match_method")} | {"confidence": "CASE WHEN match_method = 'FUZZY_CONFIDENT' THEN '0.95' ELSE '1.0' END", "source_name": "source_name", "source_url": "source_url", "explanation": "''", "resolved_at": at}, "log"),
+            {c: c for c in ("raw_name", "canonical_name", "entity_type", "match_method")} | {"confidence": "CASE WHEN match_method = 'FUZZY_CONFIDENT' THEN '0.95' ELSE '1.0' END", "source_name": "source_name", "source_url": "source_url", "explanation": "explanation", "resolved_at": at}, "log"),
+        "mappings_like": f"WITH {_sql_resolved()} SELECT raw_name, canonical_name, match_method FROM log WHERE raw_name ILIKE '%AI%'",
+        "saved_total": f"SELECT count(*) FILTER ({fresh} AND value > 10) AS saved FROM events",
+        "insert_limited": """
+            WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND value IS NOT NULL)
+            SELECT event_id, user_id, event_type, value FROM n WHERE user_id IS NULL OR event_type IS NULL
+                OR (rn = 1 AND NOT EXISTS (SELECT 1 FROM events o WHERE o.ts < TIMESTAMP '2024-01-03' AND o.user_id = n.user_id AND o.event_type = n.event_type)) ORDER BY event_id LIMIT 25""",
+        "authors_json": "SELECT n_regionkey, CASE WHEN n_regionkey < 4 THEN to_json(list(n_name ORDER BY n_name))::VARCHAR END AS authors FROM nation GROUP BY 1",
+        "resolution_tiers": f"""
+            WITH p AS (SELECT DISTINCT p_partkey::BIGINT AS id, (p_partkey // 2)::VARCHAR AS j, p_partkey % 2 = 1 AS odd FROM part),
+            e AS (SELECT id * 2 AS entity_id, 'l' || j AS g, md5(j || 'a') || ' ' || md5(j || 'b') || CASE WHEN odd THEN 'x' ELSE 'y' END AS clean_name FROM p
+                UNION ALL SELECT id * 2 + 1, CASE WHEN j::BIGINT % 2 = 0 THEN 's' || j ELSE 't' || id END, md5(j || 'c') || ' ' || substr(md5(j || CASE WHEN odd THEN 'd' ELSE 'e' END), 1, 8) FROM p),
+            m AS (SELECT *, count(*) OVER (PARTITION BY g) AS members, first_value(clean_name) OVER (PARTITION BY g ORDER BY length(clean_name), clean_name) AS canonical_name FROM e),
+            w AS (SELECT *, NULL::VARCHAR AS seed, CASE WHEN members = 1 THEN 'CANONICAL_SINGLETON' WHEN lower(clean_name) = lower(canonical_name) THEN 'EXACT_NORMALIZED' ELSE 'FUZZY_CONFIDENT' END AS match_method FROM m)
+            SELECT entity_id, clean_name AS raw_name, canonical_name, match_method, CASE WHEN match_method = 'FUZZY_CONFIDENT' THEN 0.95::DOUBLE ELSE 1.0::DOUBLE END AS confidence, {_sql_why()} AS explanation FROM w""",
+        "article_paragraphs": f"""
+            WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1) AS x FROM pages),
+            p AS (SELECT page_id, list_transform(string_split(x, '<p>')[2:], lambda s: array_to_string({_sql_pieces("split_part(s, '</p>', 1)")}, '')) AS ps FROM a)
+            SELECT page_id, array_to_string(list_filter(ps, lambda s: length(s) > 20), chr(10) || chr(10)) AS body FROM p""",
+        "page_texts": f"""
+            WITH a AS (SELECT page_id, regexp_replace(html, '(?s)<script>.*?</script>|<style>.*?</style>|<!--.*?-->', '<x>', 'g') AS x FROM pages)
+            SELECT page_id, array_to_string({_sql_pieces('x')}, ' ') AS text FROM a""",
     }
+    out["save_resolve_export"] = out["export_entity_mapping_log"]
+    families = " ".join(f"WHEN regexp_matches(low, {_quote(word(w))}) THEN {_quote(f)}" for f, w in zip(text.FAMILIES, text.ROLE_WORDS, strict=True))
+    out["hiring_posts"] = f"""
+        WITH c AS (SELECT conv_id, turn, 'Acme ' || conv_id AS company, {_sql_pick(TITLES, 'turn')} AS t, 'Acme ' || conv_id || ' | ' || {_sql_pick(TITLES, 'turn')} || chr(10) || text AS d FROM conversations),
+        p AS (SELECT *, list_filter([company, t], lambda s: NOT regexp_matches(s, '(?i)https?://|www\\.')) AS parts FROM c),
+        n AS (SELECT conv_id, turn, company, ({titled})[1] AS title, d FROM p),
+        r AS (SELECT *, lower(coalesce(title, '') || ' ' || substr(d, 1, 400)) AS low FROM n)
+        SELECT conv_id, turn, company, title, regexp_matches(d, {_quote('(?i)' + word(['remote']))}) AS is_remote, CASE {families} END AS role_family FROM r"""
     for board in text.ROLE_KEYWORDS:
         out[f"role_family_{board}"] = f"SELECT conv_id, turn, {_sql_family('text', board)} AS role_family FROM conversations"
     return out

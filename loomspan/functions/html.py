@@ -57,24 +57,46 @@ class Node:
         return name in (self.attrs.get("class") or "").split()
 
 
+# Tags whose start ends an open paragraph, and tags inside which an outer paragraph is not seen.
+_ENDS_PARAGRAPH = {
+    "address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr",
+    "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "ul",
+}
+_PARAGRAPH_SCOPE = {"", "applet", "button", "caption", "html", "marquee", "object", "table", "td", "template", "th"}
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)
+        self.open_p = 0
+
+    def _end_paragraph(self):
+        node = self.at
+        while node.tag not in _PARAGRAPH_SCOPE:
+            if node.tag == "p":
+                self.at, self.open_p = node.parent, self.open_p - 1
+                return
+            node = node.parent
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("p", "li") and self.at.tag == tag:
+        if tag in _ENDS_PARAGRAPH and self.open_p:
+            self._end_paragraph()
+        if tag == "li" and self.at.tag == tag:
             self.at = self.at.parent
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in _VOID:
             self.at = node
+            self.open_p += tag == "p"
 
     def handle_endtag(self, tag):
-        node = self.at
+        node, passed = self.at, 0
         while node is not None and node.tag != tag:
+            passed += node.tag == "p"
             node = node.parent
         if node is not None and node.parent is not None:
+            self.open_p -= passed + (tag == "p")
             self.at = node.parent
 
     def handle_data(self, data):
@@ -112,29 +134,61 @@ def unescape_all(col: Column) -> Column:
     return run(col)
 
 
-# Where each site keeps an article's paragraphs, in the order in which they are tried; the page itself comes last.
+# Where each site keeps an article's paragraphs, in the order in which they are tried. "class" is one of an
+# element's class names, "class part" any part of its class attribute.
 ARTICLE_CONTAINERS = {
-    "techcrunch": [("div", "class", "entry-content"), ("article", None, None)],
-    "theverge": [("div", "class", "duet--article--article-body-component-container"), ("article", None, None)],
-    "mit": [("div", "itemprop", "articleBody"), ("div", "class", "news-article--content--body--inner"), ("article", None, None)],
-    "arstechnica": [("div", "itemprop", "articleBody"), ("div", "class", "article-content"), ("article", None, None)],
-    "wired": [("div", "class", "body__inner-container"), ("article", None, None)],
+    "techcrunch": [("div", "class", "entry-content")],
+    "theverge": [("div", "class part", "entry-content", "duet--article"), ("article", None)],
+    "mit": [("div", "class", "news-article--content"), ("article", None)],
+    "arstechnica": [("div", "class", "article-content"), ("div", "itemprop", "articleBody"), ("article", None)],
+    "wired": [("div", "data-testid", "BodyWrapper"), ("div", "class part", "body__inner-container"), ("article", None)],
 }
+# Where a site names an article's author.
+AUTHOR_TAGS = {"mit": ("span", "class", "news-article--author")}
 #: Paragraphs of more characters count; articles with fewer in all are summaries.
 MIN_PARAGRAPH, MIN_ARTICLE = 20, 100
 
 
+def _fits(node: Node, attribute: str | None, *values: str) -> bool:
+    if attribute is None:
+        return True
+    if attribute == "class":
+        return any(node.has_class(v) or node.attrs.get("class") == v for v in values)
+    if attribute == "class part":
+        return any(v in (node.attrs.get("class") or "") for v in values)
+    return node.attrs.get(attribute) in values
+
+
 def article_body(page: str | None, site: str) -> str:
-    """The paragraphs of the site's article container, joined by empty lines; '' without a container."""
+    """The paragraphs of the site's article container, joined by empty lines; '' without a container.
+
+    A paragraph is its pieces of text, each without the white space around it, joined by nothing.
+    """
     root = parse(page)
-    for tag, attribute, value in ARTICLE_CONTAINERS[site]:
+    for tag, *test in ARTICLE_CONTAINERS[site]:
         for node in root.find_all(tag):
-            if attribute is None or (node.has_class(value) if attribute == "class" else node.attrs.get(attribute) == value):
-                parts = [p.text(" ") for p in node.find_all("p")]
+            if _fits(node, *test):
+                parts = [p.text() for p in node.find_all("p")]
                 return "\n\n".join(p for p in parts if len(p) > MIN_PARAGRAPH)
     return ""
 
 
+def article_author(page: str | None, site: str) -> str | None:
+    """The author that the article's page names, where the site does so."""
+    if site not in AUTHOR_TAGS or not page:
+        return None
+    tag, *test = AUTHOR_TAGS[site]
+    return next((n.text() for n in parse(page).find_all(tag) if _fits(n, *test)), None)
+
+
+def article_author_udf(site: str):
+    @F.pandas_udf("string")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda p: article_author(p, site))
+
+    return run
+
+
 def article_body_udf(site: str):
     @F.pandas_udf("string")
     def run(pages: pd.Series) -> pd.Series:
@@ -204,6 +258,16 @@ def paper_from_meta(root: Node) -> dict | None:
     }
 
 
+_HEAD_END = re.compile("</head>", re.I)
+_NOT_ONLY_IN_HEAD = re.compile(r"github\.com|ld\+json|<meta|<link|<title", re.I)
+
+
+def _head_if_enough(page: str | None) -> str:
+    """The page up to the end of its head, where nothing behind that could count for a paper's record; else the whole page."""
+    m = _HEAD_END.search(page or "")
+    return page[: m.end()] if m and not _NOT_ONLY_IN_HEAD.search(page, m.end()) else page or ""
+
+
 def paper_page(col: Column) -> Column:
     """A paper's record: linked data first, citation tags otherwise; all null where a page has neither."""
     names = [x.split()[0] for x in PAPER.split(", ")]
@@ -212,7 +276,7 @@ def paper_page(col: Column) -> Column:
     def run(pages: pd.Series) -> pd.DataFrame:
         rows = []
         for page in pages:
-            root = parse(page)
+            root = parse(_head_if_enough(page))
             found = paper_from_linked_data(root) or paper_from_meta(root) or {}
             rows.append([found.get(n) for n in names])
         return pd.DataFrame(rows, columns=names)

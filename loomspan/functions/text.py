@@ -239,6 +239,11 @@ def title_product(title: Column) -> Column:
     return F.nullif(F.trim(F.regexp_extract(F.trim(title), r"(?i)^(.+?)\s+(?:reviews|alternatives)", 1)), F.lit(""))
 
 
+def authors_json(authors: Column) -> Column:
+    """A list of authors as JSON text; null and empty lists are null."""
+    return F.when(F.size(authors) > 0, F.to_json(authors))
+
+
 def authors_text(authors: Column) -> Column:
     """A JSON list as 'A; B'; text that is no list is trimmed; null is ''."""
     parsed = F.from_json(F.when(F.trim(authors).startswith("["), authors), "array<string>", {"mode": "PERMISSIVE"})

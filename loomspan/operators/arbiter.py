@@ -7,6 +7,8 @@ run can be repeated without the model.
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterable
 
 import pandas as pd
@@ -25,18 +27,32 @@ class ModelsFailed(RuntimeError):
     pass
 
 
-def with_failover(models: Iterable[Model], attempts: int = 3) -> Model:
-    """The first model that answers, each tried so many times in turn; all failing raises."""
+class RateLimited(RuntimeError):
+    """What a model raises when it is asked too often."""
+
+
+def with_failover(models: Iterable[Model], attempts: int = 3, pause: float = 1.0, longest: float = 16.0) -> Model:
+    """The first model of the chain that answers; all failing raises.
+
+    A model that is rate limited is tried so many times, after waits of pause,
+    2 pause, 4 pause... (longest at most, and up to one pause more by chance); any other
+    error passes on to the next model at once.
+    """
     chain = list(models)
 
     def complete(system: str, user: str) -> str:
         errors = []
         for model in chain:
-            for _ in range(attempts):
+            for attempt in range(attempts):
                 try:
                     return model(system, user)
+                except RateLimited as error:
+                    errors.append(repr(error))
+                    if attempt + 1 < attempts:
+                        time.sleep(min(longest, pause * 2**attempt) + random.random() * pause)
                 except Exception as error:  # noqa: BLE001  whatever a client raises
                     errors.append(repr(error))
+                    break
         raise ModelsFailed("; ".join(errors) or "no model is configured")
 
     return complete

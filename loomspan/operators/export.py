@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions import dates, text
@@ -87,8 +87,12 @@ def record_lines(df: DataFrame, record_type: str) -> DataFrame:
     return nested(df, record_type).select(F.to_json("record", {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_tabs(tables: dict[str, DataFrame], path: str) -> None:
-    """Each table's tab as CSV with its headings, replacing what is at path/<table>. A table that is absent gives an empty tab."""
+def write_tabs(tables: dict[str, DataFrame], path: str, spark: SparkSession | None = None) -> None:
+    """Each table's tab as CSV with its headings, replacing what is at path/<table>. A table that is absent gives an empty tab, with headings."""
+    spark = spark or next(iter(tables.values())).sparkSession
     for name in ("startups", "products", "research_papers", "jobs", "news", "entity_mapping_log"):
-        if name in tables:
-            tab(tables[name], name).write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+        rows = tables[name] if name in tables else spark.createDataFrame([], TABLES[name].ddl)
+        cells = tab(rows, name)
+        if name not in tables:
+            cells = cells.repartition(1)
+        cells.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")

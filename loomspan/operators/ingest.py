@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomspan.functions import dates, text
+from loomspan.plans.ranks import group_ranks
+from loomspan.plans.scratch import Scratch
 from loomspan.schemas import SCHEMA_VERSION, TABLES
 
 
-def insert_ignore(new: DataFrame, keys: list[str], required: list[str], arrival: str, target: DataFrame | None = None) -> DataFrame:
-    """The rows of new that INSERT OR IGNORE would add to target, in new's columns.
+def insert_ignore(new: DataFrame, keys: list[str], required: list[str], arrival: str, target: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    """The rows of new that INSERT OR IGNORE would add to target, in new's columns; with a limit, the first so many by arrival.
 
     Rows with a null in a required column go. Of the rows that share a key the
     earliest by arrival stays, and only if target lacks the key. A null in any
@@ -23,14 +25,18 @@ def insert_ignore(new: DataFrame, keys: list[str], required: list[str], arrival:
     """
     kept = new.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True)))
     if not keys:
-        return kept
+        return _first(kept, arrival, limit)
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
     others = [arrival, *[c for c in new.columns if c not in keys and c != arrival]]
     keyed = kept.where(present).groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
     if target is not None:
         keyed = keyed.join(target.select(*keys), keys, "left_anti")
     first = keyed.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in new.columns])
-    return first.unionByName(kept.where(~present))
+    return _first(first.unionByName(kept.where(~present)), arrival, limit)
+
+
+def _first(rows: DataFrame, arrival: str, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.orderBy(arrival, *[c for c in rows.columns if c != arrival]).limit(limit)
 
 
 def complete_record(df: DataFrame, table: str, collected_at: Column) -> DataFrame:
@@ -47,18 +53,34 @@ def complete_record(df: DataFrame, table: str, collected_at: Column) -> DataFram
     return out
 
 
-def save(df: DataFrame, table: str, path: str, arrival: str, collected_at: Column) -> None:
-    """Append the rows of df that the table at path does not have yet. A missing path is an empty table."""
-    spark, spec = df.sparkSession, TABLES[table]
-    columns = [f for f in T._parse_datatype_string(spec.ddl).fieldNames() if f != "id"]  # noqa: SLF001
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at path, None where there is none yet."""
     try:
-        target = spark.read.parquet(path)
-    except Exception as error:  # the table does not exist yet
+        return spark.read.parquet(path)
+    except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        target = None
+        return None
+
+
+def save(df: DataFrame, table: str, path: str, arrival: str, collected_at: Column, limit: int | None = None) -> int:
+    """Append the rows of df that the table at path does not have yet, and return how many; with a limit, the first so many by arrival.
+
+    Added rows are numbered in the order of arrival, on from the table's
+    largest id, without gaps. A missing path is an empty table.
+    """
+    spark, spec = df.sparkSession, TABLES[table]
+    columns = [f for f in T._parse_datatype_string(spec.ddl).fieldNames() if f != "id"]  # noqa: SLF001
+    target = read_table(spark, path)
+    last = target.agg(F.max("id")).first()[0] if target is not None else None
     ready = complete_record(df, table, collected_at).select(*columns, F.col(arrival).alias("_arrival"))
-    insert_ignore(ready, list(spec.keys), list(spec.required), "_arrival", target).drop("_arrival").write.mode("append").parquet(path)
+    scratch = Scratch(spark, "save")
+    added = scratch.keep(insert_ignore(ready, list(spec.keys), list(spec.required), "_arrival", target, limit).withColumn("_all", F.lit(0)))
+    numbered = group_ranks(added, "_all", ["_arrival", *spec.keys], scratch, rank="_rank")
+    numbered.select((F.col("_rank") + ((last or 0) + 1)).alias("id"), *columns).write.mode("append").parquet(path)
+    count = added.count()
+    scratch.drop_since(0)
+    return count
 
 
 def first_seen(events: DataFrame, url: str, seen: DataFrame | None, now: Column) -> DataFrame:
@@ -93,6 +115,11 @@ def stage_counts(df: DataFrame, source: str, stages: dict[str, Column]) -> DataF
     return df.groupBy(source).agg(*[F.count_if(test).alias(name) for name, test in stages.items()])
 
 
+def saved_total(counts: DataFrame, saved: str = "saved") -> DataFrame:
+    """One row: the sum of all sources' saved rows, 0 without sources."""
+    return counts.agg(F.coalesce(F.sum(saved), F.lit(0)).alias("saved"))
+
+
 def enrich(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """left with the right table's columns where the key is known, null elsewhere; one row for each left row."""
     unique = right.groupBy(key).agg(F.min(F.struct(*columns)).alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in columns])

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.functions import names, similarity
 from loomspan.plans.components import components
+from loomspan.plans.ranks import group_ranks
 from loomspan.plans.scratch import Scratch
 from loomspan.sources.seed import seed_lookup
 
@@ -188,12 +191,39 @@ def resolve(entities: DataFrame, decisions: DataFrame | None = None) -> DataFram
     return mapping_log(clustered, canonical_names(clustered))
 
 
-def save_mappings(log: DataFrame, path: str) -> int:
-    """Replace the mapping log at path; an empty log leaves the old one. Returns the rows written."""
+def logged(log: DataFrame, resolved_at: Column) -> DataFrame:
+    """The mapping log as its table has it: numbered from 1 in the order of the entities, with the time of the run."""
+    scratch = Scratch(log.sparkSession, "logged")
+    numbered = group_ranks(log.withColumn("_all", F.lit(0)), "_all", ["entity_id"], scratch, rank="_rank")
+    return numbered.select((F.col("_rank") + 1).alias("id"), *[c for c in log.columns if c != "entity_id"], resolved_at.cast("timestamp").alias("resolved_at"))
+
+
+def save_mappings(log: DataFrame, path: str, resolved_at: Column | None = None) -> int:
+    """Replace the mapping log at path; an empty log leaves the old one. Returns the rows written.
+
+    The new log is written beside the old one, which goes only when the new one
+    is whole, so a failed run loses nothing. With resolved_at the log gets ids and that time.
+    """
     if log.isEmpty():
         return 0
-    log.write.mode("overwrite").parquet(path)
-    return log.sparkSession.read.parquet(path).count()
+    spark = log.sparkSession
+    ready = log if resolved_at is None else logged(log, resolved_at)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{x}-{uuid.uuid4().hex}") for x in ("new", "old"))  # noqa: SLF001
+    ready.write.parquet(new.toString())
+    if files.exists(where):
+        files.rename(where, old)
+    files.rename(new, where)
+    if files.exists(old):
+        files.delete(old, True)
+    return spark.read.parquet(path).count()
+
+
+def mappings_like(log: DataFrame, part: str) -> DataFrame:
+    """(raw_name, canonical_name, match_method) of the names that hold a piece of text, whatever its case."""
+    escaped = part.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+    return log.where(F.col("raw_name").ilike(f"%{escaped}%")).select("raw_name", "canonical_name", "match_method")
 
 
 def method_summary(log: DataFrame) -> DataFrame:

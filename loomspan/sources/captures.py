@@ -51,9 +51,25 @@ def feed_total(feed: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(feed, r"totalResults[^>]*>\s*(\d+)\s*<", 1), F.lit("")).try_cast("int"), F.lit(0))
 
 
+def unwrapped_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """(value) of captured feeds as a browser shows them: the text of the page's ``pre``, or the whole page where it has none."""
+    raw = spark.read.text(path, wholetext=True)
+    inner = F.regexp_extract("value", r"(?is)<pre[^>]*>(.*?)</pre>", 1)
+    return raw.select(F.when(inner == "", F.col("value")).otherwise(html.unescape_all(inner)).alias("value"))
+
+
+def rss_from_pages(spark: SparkSession, path: str, site: str) -> DataFrame:
+    """The same columns as ``rss_items`` from feeds that a browser has captured."""
+    items = unwrapped_feeds(spark, path).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)(<item[ >].*?</item>)"), 1)).alias("x"))
+    return _rss_rows(items.select(F.from_xml("x", _RSS).alias("i")).select("i.*"), site)
+
+
 def rss_items(spark: SparkSession, path: str, site: str) -> DataFrame:
     """(title, url, raw_date, author, summary, categories) of captured RSS feeds; items need a title and a link."""
-    items = spark.read.format("xml").option("rowTag", "item").schema(_RSS).load(path)
+    return _rss_rows(spark.read.format("xml").option("rowTag", "item").schema(_RSS).load(path), site)
+
+
+def _rss_rows(items: DataFrame, site: str) -> DataFrame:
     return (
         items.where(_clean(F.col("title")).isNotNull() & _clean(F.col("link")).isNotNull())
         .select(
@@ -93,6 +109,8 @@ def with_article(items: DataFrame, pages: DataFrame, site: str) -> DataFrame:
     """
     joined = items.join(pages.select("url", F.col("html").alias("_html")), "url", "left")
     body = joined.withColumn("_text", html.article_body_udf(site)(F.col("_html")))
+    if site in html.AUTHOR_TAGS:
+        body = body.withColumn("author", F.coalesce(html.article_author_udf(site)(F.col("_html")), "author"))
     whole = F.length("_text") >= html.MIN_ARTICLE
     return body.withColumns(
         {
@@ -132,12 +150,25 @@ def board_jobs(spark: SparkSession, path: str, board: str) -> DataFrame:
     return found.withColumn("description", html.html_text(F.col("_html"), "\n")).drop("_html")
 
 
-def hiring_comments(spark: SparkSession, path: str, story_id: int) -> DataFrame:
-    """Job rows of a captured hiring thread: its top-level comments of at least 30 characters whose header names a company."""
+def latest_thread(spark: SparkSession, path: str) -> str | None:
+    """The id of the first story of captured search replies, None where there is none: the thread whose comments are wanted."""
+    hits = spark.read.schema("hits array<struct<objectID:string>>").json(path, multiLine=True).select(F.get("hits", F.lit(0))["objectID"].alias("id"))
+    found = hits.where("id is not null").limit(1).collect()
+    return found[0]["id"] if found else None
+
+
+def hiring_comments(spark: SparkSession, path: str, story_id: int | str | None = None) -> DataFrame:
+    """Job rows of captured comments of at least 30 characters whose header names a company; job_url is the comment's own page.
+
+    With a story, only its top-level comments count; without one (a keyword search) all do. Comments without an id go.
+    """
     schema = "hits array<struct<objectID:string,parent_id:bigint,created_at:string,created_at_i:bigint,comment_text:string>>"
     hits = spark.read.schema(schema).json(path, multiLine=True).select(F.inline("hits"))
-    rows = hits.where((F.col("parent_id") == story_id) & (F.length("comment_text") >= 30))
-    return parse_comments(rows.select("objectID", F.coalesce("created_at", F.col("created_at_i").cast("string")).alias("raw_date"), "comment_text"))
+    rows = hits.where((F.length("comment_text") >= 30) & (F.trim("objectID") != ""))
+    if story_id is not None:
+        rows = rows.where(F.col("parent_id") == int(story_id))
+    url = F.concat(F.lit("https://news.ycombinator.com/item?id="), F.trim("objectID"))
+    return parse_comments(rows.select("objectID", url.alias("job_url"), F.coalesce("created_at", F.col("created_at_i").cast("string")).alias("raw_date"), "comment_text"))
 
 
 def parse_comments(rows: DataFrame) -> DataFrame:

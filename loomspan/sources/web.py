@@ -6,6 +6,7 @@ source runs. ``spark.dataSource.register(WebSource)`` makes it known as "web".
 
 from __future__ import annotations
 
+import http.client
 import random
 import time
 import urllib.error
@@ -27,13 +28,19 @@ class WebReader(DataSourceReader):
         self.timeout = float(options.get("timeout", "30"))
         self.attempts = int(options.get("attempts", "3"))
         self.agent = options.get("userAgent", "loomspan")
+        # a numbered walk over one host ends after so many pages in a row without a body
+        self.misses = int(options.get("stopAfterMisses", "0"))
         # the scale of the waits, so that tests need not wait
         self.pause = float(options.get("pause", "1"))
 
     def partitions(self):
         hosts: dict[str, list[str]] = {}
         for url in self.urls:
-            hosts.setdefault(urlsplit(url).netloc, []).append(url)
+            try:
+                host = urlsplit(url).netloc
+            except ValueError:
+                host = ""
+            hosts.setdefault(host, []).append(url)
         return [HostPartition(urls) for urls in hosts.values()] or [HostPartition([])]
 
     def fetch(self, url: str):
@@ -54,17 +61,24 @@ class WebReader(DataSourceReader):
                 else:
                     return error.code, None
                 status = error.code
-            except OSError:
+            except (OSError, http.client.HTTPException):
                 status, wait = 0, 2 * attempt
+            except (ValueError, LookupError):  # no URL, or a charset that nobody knows: trying again changes nothing
+                return 0, None
             if attempt < self.attempts:
                 time.sleep(self.pause * wait * (1 + random.random() / 10))
         return status, None
 
     def read(self, partition: HostPartition):
+        missed = 0
         for i, url in enumerate(partition.urls):
             if i and self.delay:
                 time.sleep(self.delay)
-            yield (url, *self.fetch(url))
+            status, body = self.fetch(url)
+            yield url, status, body
+            missed = 0 if body else missed + 1
+            if self.misses and missed >= self.misses:
+                return
 
 
 class WebSource(DataSource):
@@ -84,6 +98,12 @@ def id_urls(base: str, start: int, count: int, step: int = -1) -> list[str]:
     return [f"{base}{start + i * step}" for i in range(count)]
 
 
+def page_urls(base: str, pages: int, size: int, offset: str = "start", count: str = "max_results") -> list[str]:
+    """URLs of a paged listing: so many pages of a size, by offset."""
+    joint = "&" if "?" in base else "?"
+    return [f"{base}{joint}{offset}={i * size}&{count}={size}" for i in range(pages)]
+
+
 def until_misses(rows, limit: int = 20):
     """Rows (in page order) up to the limit-th consecutive one without a body."""
     missed = 0

@@ -17,7 +17,8 @@ def stream_first_seen(events: DataFrame, url: str, seen_at: str) -> DataFrame:
     """A stream of (url, first_seen_at): each URL once, with the earliest time of the batch that first holds it.
 
     State is kept for ever, as the first-seen table is; it lives in the state
-    store, keyed by URL, and a hot URL is folded to one row a batch before it gets there.
+    store, keyed by URL. All rows of a URL in a batch meet in one task, which
+    keeps their least time only, so a hot URL costs time there but no memory.
     """
 
     def first(key: tuple, frames, state: GroupState):
