@@ -32,6 +32,8 @@ BROADCAST_IDS = 1_000_000
 STEPS = np.array([-0.12, 0.0, 0.12])
 #: Codes in a landmark.
 RUN = 4
+#: Rounds in which a class is aligned with one hub of its landmarks (the first recording, then others by hash) before all that is left.
+HUB_ROUNDS = 3
 #: An alignment links two recordings from this overlap (codes, and share of the shorter) and up to this bit error rate.
 MIN_OVERLAP, MIN_SHARE, MAX_ERRORS = 8, 0.5, 0.25
 
@@ -205,10 +207,15 @@ def marked(heads: DataFrame) -> DataFrame:
 
 
 def meeting(pairs: DataFrame, hits: DataFrame) -> DataFrame:
-    """(mark, a, n_a, pos_a, b, n_b, pos_b) for every landmark that both recordings of a pair hold."""
-    x, y = (hits.select("mark", *(F.col(c).alias(d) for c, d in (("rec_id", e), ("pos", f"pos_{e}"), ("n_codes", f"n_{e}")))) for e in "ab")
-    # by b first: a hub's landmarks are then looked up, not repeated for each of its pairs
-    return pairs.join(y, "b").join(x, ["a", "mark"])
+    """(mark, a, n_a, pos_a, b, n_b, pos_b) for every landmark that both recordings of a pair (rec_id, hub) hold, a being the smaller id.
+
+    The recordings' landmarks come first and are then looked up with the hubs, so a hub's are not repeated for each of its pairs.
+    """
+    hubs = hits.select("mark", *(F.col(c).alias(f"{c}_h") for c in ("rec_id", "pos", "n_codes"))).withColumnRenamed("rec_id_h", "hub")
+    met, first = pairs.join(hits, "rec_id").join(hubs, ["hub", "mark"]), F.col("rec_id") < F.col("hub")
+    both = {"": ("rec_id", "hub"), "n_": ("n_codes", "n_codes_h"), "pos_": ("pos", "pos_h")}
+    ends = [F.when(first, F.col(one)).otherwise(F.col(other)).alias(name + "a") for name, (one, other) in both.items()]
+    return met.select("mark", *ends, *[F.when(first, F.col(other)).otherwise(F.col(one)).alias(name + "b") for name, (one, other) in both.items()])
 
 
 def voted(met: DataFrame) -> DataFrame:
@@ -249,9 +256,9 @@ def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: s
     enough codes overlap and few enough bits differ. Components are those of
     all such links, found without comparing pairs that are connected already:
     recordings with equal codes form a class, whose least id stands for it; each
-    class is aligned with the first class at the landmarks that they share, best
-    one first, and then, where components still differ, with every class that it
-    shares a landmark with. The reference is the linked recording with a smaller
+    class is aligned with a hub of the landmarks that they share, one a round, and
+    then, where components still differ, with every class that it shares a
+    landmark with. The reference is the linked recording with a smaller
     id, among those it was aligned with, that has most votes (the least id of
     equals; null if none). Recordings without codes (null, empty or shorter
     than a code's frames) are linked with nothing. Rows that share an id count
@@ -269,28 +276,35 @@ def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: s
     few = others.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     heads = prints.where("rec_id is not null and n_codes > 0").join(F.broadcast(others) if few else others, ["rec_id", "hi", "lo"], "left_anti")
     marks = marked(heads)
-    first = scratch.keep(marks.groupBy("mark").agg(F.min("rec_id").alias("a"), F.max("rec_id").alias("last")).where("a < last").select("mark", "a"))
+    first = scratch.keep(marks.groupBy("mark").agg(F.min("rec_id").alias("least"), F.max("rec_id").alias("most")).where("least < most").select("mark"))
     small = first.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    hits = marks.join(F.broadcast(first) if small else first, "mark").groupBy("mark", "a", "rec_id").agg(F.min("pos").alias("pos"), F.min("n_codes").alias("n_codes"))
+    hits = marks.join(F.broadcast(first) if small else first, "mark").groupBy("mark", "rec_id").agg(F.min("pos").alias("pos"), F.min("n_codes").alias("n_codes"))
     hits = scratch.keep(hits)
-    stars = scratch.keep(hits.where("rec_id != a").groupBy("a", F.col("rec_id").alias("b")).agg(F.count("*").alias("shared")))
-    # round 1: each class with the hub of most of its marks; round 2: with its other hubs, where not connected yet
-    once = scratch.keep(stars.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("m"))).alias("s")).select((-F.col("s.m")).alias("a"), "b"))
-    links = scratch.keep(matching(scratch.keep(voted(meeting(once, hits))), heads))
-    label = components(links, label="chroma-round")
-    more = apart(stars.select("a", "b").join(once, ["a", "b"], "left_anti"), label)
-    links = scratch.keep(links.unionByName(matching(scratch.keep(voted(meeting(scratch.keep(more), hits))), heads)))
-    # round 3: what shares a mark across components
-    label = components(links, label="chroma-round")
-    placed = hits.join(label.select(F.col("id").alias("rec_id"), "component"), "rec_id", "left").select(
-        "mark", "rec_id", "pos", "n_codes", F.col("a").alias("hub"), F.coalesce("component", "rec_id").alias("part")
-    )
+    # each class with one hub a round, the one of most of its marks, where they are not connected yet
+    links, label, tested = None, None, None
+    for turn in range(HUB_ROUNDS):
+        placed = hits if label is None else parted(hits, label)
+        order = F.struct("rec_id") if turn == 0 else F.struct(F.xxhash64("rec_id", F.lit(turn)), "rec_id")
+        elected = placed.groupBy("mark").agg(F.min_by(F.struct("rec_id", "part") if label is not None else F.struct("rec_id", F.col("rec_id").alias("part")), order).alias("hub"))
+        met = placed.join(elected, "mark").where(F.col("rec_id") != F.col("hub.rec_id"))
+        if label is not None:
+            met = met.where(F.col("part") != F.col("hub.part"))
+        counts = met.groupBy(F.col("hub.rec_id").alias("hub"), "rec_id").agg(F.count("*").alias("shared"))
+        chosen = counts.groupBy("rec_id").agg(F.max(F.struct("shared", (-F.col("hub")).alias("m"))).alias("s")).select("rec_id", (-F.col("s.m")).alias("hub"))
+        # of two that chose each other one pair is enough
+        pairs = chosen.withColumns({"a": F.least("rec_id", "hub"), "b": F.greatest("rec_id", "hub")}).groupBy("a", "b").agg(F.min("rec_id").alias("rec_id"), F.min_by("hub", "rec_id").alias("hub"))
+        pairs = scratch.keep(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        found = matching(scratch.keep(voted(meeting(pairs.select("rec_id", "hub"), hits))), heads)
+        links = scratch.keep(found if links is None else links.unionByName(found))
+        label = components(links, label="chroma-round")
+    # then what still shares a mark across components
+    placed = parted(hits, label)
     mixed = placed.groupBy("mark").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select("mark")
     placed = scratch.keep(placed.join(mixed, "mark", "left_semi"))
-    x, y = (placed.select("mark", "hub", *(F.col(c).alias(d) for c, d in (("rec_id", e), ("pos", f"pos_{e}"), ("n_codes", f"n_{e}"), ("part", f"part_{e}")))) for e in "ab")
-    # hubs have been aligned with all others at their marks
-    meet = x.join(y.drop("hub"), "mark").where("a < b and part_a != part_b and a != hub")
-    across = voted(meet.drop("hub", "part_a", "part_b")).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    x, y = (placed.select("mark", *(F.col(c).alias(d) for c, d in (("rec_id", e), ("pos", f"pos_{e}"), ("n_codes", f"n_{e}"), ("part", f"part_{e}")))) for e in "ab")
+    meet = x.join(y, "mark").where("a < b and part_a != part_b").drop("part_a", "part_b")
+    across = voted(meet).join(tested, ["a", "b"], "left_anti")
     links = scratch.keep(links.unionByName(matching(scratch.keep(across), heads)))
     best = links.groupBy("b").agg(F.max(F.struct("votes", (-F.col("a")).alias("m"), "offset", "overlap", "bit_errors")).alias("s"))
     best = best.select(F.col("b").alias("root"), (-F.col("s.m")).alias("ref_id"), "s.offset", "s.votes", "s.overlap", "s.bit_errors")
@@ -303,11 +317,9 @@ def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: s
     return members.select("rec_id", "n_codes", F.coalesce("component", "root", "rec_id").alias("component_id"), "ref_id", "offset", "votes", "overlap", "bit_errors").unionByName(lonely)
 
 
-def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components so far."""
-    ends = [label.select(F.col("id").alias(end), F.col("component").alias(f"part_{end}")) for end in "ab"]
-    joined = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
-    return joined.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select(pairs.columns)
+def parted(hits: DataFrame, label: DataFrame) -> DataFrame:
+    """hits with each recording's component so far."""
+    return hits.join(label.select(F.col("id").alias("rec_id"), "component"), "rec_id", "left").withColumn("part", F.coalesce("component", "rec_id")).drop("component")
 
 
 def query(docs: DataFrame) -> DataFrame:
