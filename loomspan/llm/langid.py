@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.llm.common import id_residue, pieces
+from loomspan.plans.ranks import fresh
 from loomspan.plans.scratch import Scratch
 
 #: Letters are code points below 2**21, so three of them fit in 63 bits.
@@ -147,16 +148,17 @@ class Judge:
         return self.names[best], float(1.0 - far[best] / (len(own) * self.size))
 
 
-def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score (columns of those names are replaced).
+def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the prediction and its score under the given names (columns of those names are replaced).
 
     The score is 1 minus the distance over its greatest possible value: 1 for a
     text that repeats a profile's order, 0 for one that shares no n-gram with
     it. Null, empty and letterless texts, and any text while no profile has been
     learned, give ``und`` and 0. Equal distances go to the language that sorts
-    first. The language and source columns are not read.
+    first. The language and source columns are not read. Rows that repeat are
+    judged each for itself; an empty table gives an empty result.
     """
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    keep = [c for c in docs.columns if c not in names]
 
     def run(batches):
         judge = Judge(profiles, size)
@@ -165,44 +167,49 @@ def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text
             kept = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                [*keep, "lang_pred", "score"],
+                [*keep, *names],
             )
 
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.select(*keep).schema.add(names[0], "string").add(names[1], "double")
     return docs.select(*keep).mapInArrow(run, schema)
 
 
-def usual_scores(marked: DataFrame, lang: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """(lang_pred, _size, _q) and (lang_pred, _all): low quantiles of the scores of labelled rows that got their label, by length class and over all."""
-    own = marked.where(F.col(lang) == F.col("lang_pred"))
-    low = F.percentile_approx("score", F.lit(LOW), F.lit(10_000))
-    by = own.groupBy("lang_pred", "_size").agg(low.alias("_q"), F.count("*").alias("_n")).where(F.col("_n") >= MIN_LABELLED).drop("_n")
-    return by, own.groupBy("lang_pred").agg(low.alias("_all"))
+def usual_scores(marked: DataFrame, lang: str, guess: str, score: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(g, k, by) and (g, whole): low quantiles of the scores of labelled rows that got their label, by length class and over all."""
+    own = marked.where(F.col(lang) == F.col(guess)).select(F.col(guess).alias("g"), F.col(kind).alias("k"), F.col(score).alias("s"))
+    low = F.percentile_approx("s", F.lit(LOW), F.lit(10_000))
+    by = own.groupBy("g", "k").agg(low.alias("by"), F.count("*").alias("n")).where(F.col("n") >= MIN_LABELLED).drop("n")
+    return by, own.groupBy("g").agg(low.alias("whole"))
 
 
 def accept(docs: DataFrame, profiles: dict, size: int = 400, min_score: float = MIN_SCORE, lang: str = "lang") -> DataFrame:
-    """The rows whose language can be told: not ``und``, not below min_score, and not far from every profile. Columns are unchanged.
+    """The rows whose language can be told: not ``und``, not below min_score, and not far from every profile. Columns are unchanged, whatever their names.
 
     A text is far from every profile when it scores less than USUAL_SHARE of
     what labelled texts of the predicted language and a like length (to a factor
     of two, from 32 to 4096 characters) score at their LOW quantile. Where fewer
     than MIN_LABELLED are of that length, those of all lengths count. The label
-    of the text itself does not matter. At most 9 bounds a language are broadcast.
+    of the text itself does not matter. Null, empty and letterless texts go;
+    rows that repeat are judged alike; an empty table gives an empty result. At
+    most 9 bounds a language are broadcast.
     """
-    if {"lang_pred", "score", "_size"} & set(docs.columns):
-        raise ValueError("docs already has lang_pred, score or _size")
+    guess, score, kind, g, k, g2, by_, whole_ = fresh(docs.columns, "_guess", "_score", "_kind", "_g", "_k", "_g2", "_by", "_whole")
     length = F.char_length("text")
-    kind = F.floor(F.log2(F.least(F.greatest(length, F.lit(16)), F.lit(4096)))).cast("int")
     scratch = Scratch(docs.sparkSession, "langid")
-    marked = scratch.keep(identify(docs, profiles, size).withColumn("_size", kind))
-    by, whole = (scratch.keep(x) for x in usual_scores(marked, lang))
-    usual = F.coalesce("_q", "_all", F.lit(0.0))
-    told = marked.where(F.col("lang_pred") != UNDETERMINED).join(F.broadcast(by), ["lang_pred", "_size"], "left").join(F.broadcast(whole), "lang_pred", "left")
-    return told.where((F.col("score") >= min_score) & (F.col("score") >= USUAL_SHARE * usual)).select(*docs.columns)
+    sized = identify(docs, profiles, size, names=(guess, score))
+    marked = scratch.keep(sized.withColumn(kind, F.floor(F.log2(F.least(F.greatest(length, F.lit(16)), F.lit(4096)))).cast("int")))
+    by, whole = (scratch.keep(x) for x in usual_scores(marked, lang, guess, score, kind))
+    by, whole = by.select(F.col("g").alias(g), F.col("k").alias(k), F.col("by").alias(by_)), whole.select(F.col("g").alias(g2), F.col("whole").alias(whole_))
+    told = marked.where(F.col(guess) != UNDETERMINED).join(F.broadcast(by), (F.col(guess) == F.col(g)) & (F.col(kind) == F.col(k)), "left").join(F.broadcast(whole), F.col(guess) == F.col(g2), "left")
+    usual = F.coalesce(by_, whole_, F.lit(0.0))
+    return told.where((F.col(score) >= min_score) & (F.col(score) >= USUAL_SHARE * usual)).select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """Contract of op3: learn where the id's residue is not 2, predict every row."""
+    """Contract of op3: learn where the id's residue is not 2, predict every row.
+
+    A row with a null doc_id has a null held_out, teaches nothing and is predicted. See ``identify`` for other odd rows.
+    """
     held_out = id_residue(F.col("doc_id"), 4) == 2
     train = docs.where(~held_out & F.col("lang").isNotNull())
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")

@@ -16,10 +16,11 @@ from collections import deque
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.llm.common import pieces
+from loomspan.plans.ranks import fresh
 from loomspan.plans.scratch import Scratch
 
 #: A repeated run is deleted from this many words on; any such run is found.
@@ -124,7 +125,12 @@ def first_windows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-_SEQUENCE = "doc_id bigint, hashes array<bigint>, words array<int>, own array<int>, prints array<bigint>"
+_SEQUENCE = "doc_id bigint, version bigint, hashes array<bigint>, words array<int>, own array<int>, prints array<bigint>"
+
+
+def version_of(text: Column) -> Column:
+    """Tells the texts of rows that share an id from each other."""
+    return F.xxhash64(text)
 
 
 def sequences(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
@@ -132,24 +138,24 @@ def sequences(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRA
 
     def run(batches):
         for batch in pieces(batches):
-            out: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            out: list[list] = [[], [], [], [], [], []]
+            for doc, version, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text")), strict=True):
                 hashes, words = line_hashes(split_lines(text))
                 starts, stops = windows_of(words, min_words)
                 prints = np.unique(window_prints(hashes, words, starts, stops, gram_words))
                 later = ~first_windows(*window_keys(hashes, starts, stops))
                 own = np.flatnonzero(covered(starts[later], stops[later], len(hashes)))
-                for column, value in zip(out, (doc, hashes, words, own, prints), strict=True):
+                for column, value in zip(out, (doc, version, hashes, words, own, prints), strict=True):
                     column.append(value)
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["doc_id", "hashes", "words", "own", "prints"])
+            types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["doc_id", "version", "hashes", "words", "own", "prints"])
 
-    rows = docs.where(F.col("doc_id").isNotNull() & (F.col("text") != "")).select("doc_id", "text")
+    rows = docs.where(F.col("doc_id").isNotNull() & (F.col("text") != "")).select(F.col("doc_id").cast("long").alias("doc_id"), version_of(F.col("text")).alias("version"), "text")
     return rows.mapInArrow(run, _SEQUENCE)
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """(doc_id, n_removed, bits): for each document with later repeats, the lines to delete as a bitmap of 64 lines a word.
+    """(doc_id, version, n_removed, bits): for each document with later repeats, the lines to delete as a bitmap of 64 lines a word.
 
     Places are ordered by (doc_id, line). A line goes when a run of min_words
     words that holds it occurred at an earlier place. A document sends a window
@@ -161,7 +167,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
     seq = scratch.keep(
         sequences(docs, min_words, gram_words)
         .groupBy("doc_id")
-        .agg(F.min(F.struct("hashes", "words", "own", "prints")).alias("s"))
+        .agg(F.min(F.struct("hashes", "words", "version", "own", "prints")).alias("s"))
         .select("doc_id", "s.*")
     )
     places = scratch.keep(seq.select("doc_id", F.explode("prints").alias("print")))
@@ -217,7 +223,8 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
     across = across.mapInArrow(spread, "doc_id bigint, lines array<int>")
     own = seq.where(F.size("own") > 0).select("doc_id", F.col("own").alias("lines"))
     gathered = across.unionByName(own).groupBy("doc_id").agg(F.collect_list("lines").alias("lists"))
-    return scratch.keep(gathered.mapInArrow(bitmaps, "doc_id bigint, n_removed int, bits array<bigint>"))
+    cuts = scratch.keep(gathered.mapInArrow(bitmaps, "doc_id bigint, n_removed int, bits array<bigint>"))
+    return scratch.keep(cuts.join(seq.select("doc_id", "version"), "doc_id"))
 
 
 #: Deletion bitmaps of at most this many words (8 bytes each) may be broadcast in place of shuffling the texts.
@@ -229,30 +236,33 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
 
     Every row stays: a text of which everything is deleted becomes empty, and
     null texts stay null with no lines. Rows with a null doc_id are not compared
-    and stay as they are. Rows that share a doc_id count as one document (the
-    one with the least line hashes); its deletions apply to all of them. Empty
-    tables give empty results.
+    and stay as they are. Of rows that share a doc_id the text with the least
+    line hashes is compared and cut, in all its rows; rows of that id with other
+    texts stay as they are. Other columns pass through, whatever their names.
+    Empty tables give empty results.
     """
     cuts = repeated_lines(docs, min_words, gram_words)
     size = cuts.agg(F.coalesce(F.sum(F.size("bits") + 2), F.lit(0))).first()[0]
-    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("n_removed").alias("_removed"), F.col("bits").alias("_bits"))
     kept = docs.drop("n_lines", "n_removed")
-    joined = kept.join(F.broadcast(cuts) if size <= BROADCAST_WORDS else cuts, F.col("doc_id") == F.col("_id"), "left")
+    key, version, removed, bits = fresh(kept.columns, "_id", "_version", "_removed", "_bits")
+    cuts = cuts.select(*[F.col(c).alias(name) for c, name in (("doc_id", key), ("version", version), ("n_removed", removed), ("bits", bits))])
+    same = (F.col("doc_id") == F.col(key)) & (version_of(F.col("text")) == F.col(version))
+    joined = kept.join(F.broadcast(cuts) if size <= BROADCAST_WORDS else cuts, same, "left")
     lines = F.split(F.col("text"), "\n", -1)
 
     def stays(_, i):
-        word = F.get(F.col("_bits"), F.shiftright(i, 6))
+        word = F.get(F.col(bits), F.shiftright(i, 6))
         return F.coalesce(F.getbit(word, F.pmod(i, F.lit(64))), F.lit(0)) == 0
 
-    left = F.when(F.col("_bits").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, stays), "\n"))
+    left = F.when(F.col(bits).isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, stays), "\n"))
     return joined.select(
         *[left.alias(c) if c == "text" else F.col(c) for c in kept.columns],
         F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size(lines)).otherwise(0).alias("n_lines"),
-        F.coalesce(F.col("_removed"), F.lit(0)).alias("n_removed"),
+        F.coalesce(F.col(removed), F.lit(0)).alias("n_removed"),
     )
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """Every document's line counts and the length and MD5 of what is left of its text."""
+    """Every document's line counts and the length and MD5 of what is left of its text (null for a null text). See ``dedup_lines`` for odd rows."""
     out = dedup_lines(docs.select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.char_length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))

@@ -104,10 +104,10 @@ def odd_bits(a: str, b: str, words: int) -> Column:
 
 
 def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, print_hi, print_lo, bands, sketch, parity) for each row; the print is a 128-bit hash of the whole set."""
+    """(doc_id, version, n_shingles, print_hi, print_lo, bands, sketch, parity) for each row; the print is a 128-bit hash of the whole set."""
 
     def run(batches):
-        for batch in pieces(batches, rows=500, size=1 << 20):
+        for batch in pieces(batches, rows=500, size=1 << 18):
             sets = shingle_sets(as_bytes(batch.column("text")), words)
             full = [i for i, s in enumerate(sets) if len(s)]
             mins = np.stack([samples(sets[i]) for i in full]) if full else np.empty((0, SAMPLES), np.uint32)
@@ -118,6 +118,7 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("version"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(high),
                     pa.array(low),
@@ -125,19 +126,22 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     pa.array([sketches[at[i]] if i in at else None for i in range(len(sets))], pa.list_(pa.int64())),
                     pa.array(list(parities(sets)), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "print_hi", "print_lo", "bands", "sketch", "parity"],
+                ["doc_id", "version", "n_shingles", "print_hi", "print_lo", "bands", "sketch", "parity"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, print_hi bigint, print_lo bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, version bigint, n_shingles bigint, print_hi bigint, print_lo bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: float, words: int = WORDS) -> DataFrame:
-    """The (a, b) pairs whose full shingle sets reach the similarity: 100 * intersection >= percent * union."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    needed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: float, words: int = WORDS) -> DataFrame:
+    """The (a, b) pairs whose full shingle sets reach the similarity: 100 * intersection >= percent * union.
+
+    Of rows that share an id only those with the text that the nodes (doc_id, version) name count.
+    """
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct().join(nodes.select("doc_id", "version"), "doc_id")
+    needed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text").cast("binary").alias("text"))
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    needed = needed.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    needed = needed.join(F.broadcast(ids) if few else ids, ["doc_id", "version"], "left_semi")
 
     def run(batches):
         for whole in batches:
@@ -168,19 +172,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     shares a bucket goes unchecked only if it is connected already or its sketches
     rule it out. Texts without words (null, empty, only white space) and rows
     with a null doc_id are linked with nothing. Rows that share a doc_id count
-    as one document, the one with the least set print.
+    as one document, the one with the least set print. Other columns are not
+    read; an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "near")
     # the least of the rows that share an id, without sorting arrays: a later join takes its features
     found = scratch.keep(features(docs, words))
-    ids = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct("print_hi", "print_lo", "n_shingles")).alias("p")).select("doc_id", "p.*")
+    ids = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct("print_hi", "print_lo", "n_shingles", "version")).alias("p")).select("doc_id", "p.*")
     ids = scratch.keep(ids)
-    classes = ids.where("n_shingles > 0").groupBy("print_hi", "print_lo", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    classes = ids.where("n_shingles > 0").groupBy("print_hi", "print_lo", "n_shingles").agg(F.min(F.struct("doc_id", "version")).alias("p")).select("print_hi", "print_lo", "n_shingles", "p.*")
     classes = scratch.keep(classes)
     nodes = scratch.keep(
-        found.join(classes.select("doc_id", F.col("print_hi").alias("_h"), F.col("print_lo").alias("_l")), "doc_id")
+        found.join(classes.select("doc_id", "version", F.col("print_hi").alias("_h"), F.col("print_lo").alias("_l")), ["doc_id", "version"])
         .where((F.col("print_hi") == F.col("_h")) & (F.col("print_lo") == F.col("_l")))
-        .select("doc_id", "n_shingles", "bands", "sketch", "parity")
+        .select("doc_id", "version", "n_shingles", "bands", "sketch", "parity")
         .dropDuplicates(["doc_id"])
     )
     links = link_classes(nodes, docs, 100 * threshold, words, scratch)
@@ -219,11 +224,11 @@ def link_classes(nodes: DataFrame, docs: DataFrame, percent: float, words: int,
     stars = scratch.keep(stars.join(a, "a").join(b, "b").where(possible).select("a", "b", "w"))
     # round 1: each class against the hub of most of its buckets
     once = scratch.keep(stars.groupBy("b").agg(F.max(F.struct("w", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
-    links = scratch.keep(confirm(once, docs, percent, words))
+    links = scratch.keep(confirm(once, docs, nodes, percent, words))
     # round 2: its other hubs, where not connected yet
     label = components(links, label="near-round")
     others = scratch.keep(_apart(stars.select("a", "b").join(once.withColumn("_", F.lit(1)), ["a", "b"], "left_anti"), label))
-    links = scratch.keep(links.unionByName(confirm(others, docs, percent, words)))
+    links = scratch.keep(links.unionByName(confirm(others, docs, nodes, percent, words)))
     # round 3: what shares a bucket across components
     label = components(links, label="near-round")
     placed = shared.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("part"))
@@ -242,7 +247,7 @@ def link_classes(nodes: DataFrame, docs: DataFrame, percent: float, words: int,
     )
     known = once.unionByName(others).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     across = scratch.keep(across.join(known, ["a", "b"], "left_anti"))
-    links = scratch.keep(links.unionByName(confirm(across, docs, percent, words)))
+    links = scratch.keep(links.unionByName(confirm(across, docs, nodes, percent, words)))
     scratch.drop_since(mark, links)
     return links
 
@@ -260,7 +265,7 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
-    """docs with one document of each component, its least doc_id; rows with a null doc_id stay."""
+    """docs with one document of each component, its least doc_id, in all its rows; rows with a null doc_id stay. Columns are unchanged."""
     gone = near_duplicates(docs, threshold, words).where("doc_id != component_id").select("doc_id")
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)

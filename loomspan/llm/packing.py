@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspan.plans.ranks import group_ranks
+from loomspan.plans.ranks import fresh, group_ranks
 from loomspan.plans.scratch import Scratch
 
 BUCKETS = 8
@@ -103,30 +103,36 @@ def pack(
     buckets: int = BUCKETS,
     budget: int = TOKEN_BUDGET,
     max_cells: int | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
     """The carried columns (default: all) with n_tokens, bucket (padded length), batch and batch_row (longs).
 
     A batch holds max(1, budget // bucket) rows of one bucket, in the order of
-    (n_tokens, key); only a bucket's last batch may be smaller. A text longer
+    (n_tokens, key), or of the columns given as order (which are then carried
+    along); only a bucket's last batch may be smaller. A text longer
     than the budget has a batch to itself. Null and empty texts count as one
-    token. Rows that repeat a key are packed each for itself. Columns of docs
-    with the added names are replaced. An empty table gives an empty result.
+    token. Rows that repeat a key are packed each for itself, null keys come
+    first. Columns of docs with the added names are replaced, others pass
+    through whatever their names. An empty table gives an empty result.
     The boundaries pad least over all lengths; max_cells rounds lengths up for
     them. The texts are counted once; ranks inside a bucket come from range
     partitions, so a bucket with most of the rows spans many tasks.
     """
     scratch = Scratch(docs.sparkSession, "pack")
     columns = [c for c in (carry or docs.columns) if c not in ADDED]
-    counted = scratch.keep(docs.select(*columns, token_count(F.col(text)).alias("n_tokens")))
+    sorts = order or ["n_tokens", key]
+    more = [c for c in sorts if c not in (*columns, "n_tokens")]
+    (place,) = fresh([*columns, *more, *ADDED], "_rank")
+    counted = scratch.keep(docs.select(*columns, *more, token_count(F.col(text)).alias("n_tokens")))
     _, cells = length_cells(counted.select(F.col("n_tokens").alias("length")), max_cells)
     marked = counted.withColumn("bucket", bucket_of(F.col("n_tokens"), boundaries(cells, buckets) or [1]))
     held = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("bucket"))).cast("long")
-    return group_ranks(marked, "bucket", ["n_tokens", key], scratch).select(
+    return group_ranks(marked, "bucket", sorts, scratch, rank=place).select(
         *columns,
         "n_tokens",
         "bucket",
-        F.floor(F.col("rank") / held).cast("long").alias("batch"),
-        F.pmod(F.col("rank"), held).alias("batch_row"),
+        F.floor(F.col(place) / held).cast("long").alias("batch"),
+        F.pmod(F.col(place), held).alias("batch_row"),
     )
 
 

@@ -15,6 +15,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.plans.ranks import fresh
+
 #: A prime over 100 times the default number of shards keeps their shares within a percent.
 TABLE_SIZE = 16411
 SHARDS = 64
@@ -72,18 +74,20 @@ def place(df: DataFrame, key: str, shards: int = SHARDS, size: int = TABLE_SIZE,
 
     One map-side join with a broadcast of ``size`` rows and no shuffle, so a hot
     key costs nothing here; rows that repeat a key share its shard by design.
-    Null keys are placed as the empty text. Other columns pass through.
+    Null keys are placed as the empty text. Other columns pass through,
+    whatever their names; an empty table gives an empty result.
     """
     names = names or [f"shard-{i:05d}" for i in range(shards)]
     kept = df.drop("shard")
-    table = lookup_table(df.sparkSession, names, size).select(F.col("slot").alias("_slot"), "shard")
-    return kept.withColumn("_slot", slot_of(kept[key], size)).join(F.broadcast(table), "_slot").drop("_slot")
+    (slot,) = fresh([*kept.columns, "shard"], "_slot")
+    table = lookup_table(df.sparkSession, names, size).select(F.col("slot").alias(slot), "shard")
+    return kept.withColumn(slot, slot_of(kept[key], size)).join(F.broadcast(table), slot).drop(slot)
 
 
 def write_sharded(df: DataFrame, path: str, key: str, shards: int = SHARDS, files_per_shard: int = 1) -> None:
     """Write df partitioned by shard, a shard's rows dealt over files_per_shard tasks."""
     placed = place(df, key, shards)
-    salt = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_shard))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_shard))  # of the whole row, so that one hot key is dealt too
     placed.repartition(shards * files_per_shard, "shard", salt).write.partitionBy("shard").parquet(path)
 
 

@@ -179,3 +179,17 @@ def test_place(spark):
     assert sharding.place(docs.where("false"), "doc_id", 8, 101).count() == 0
     with pytest.raises(ValueError):
         sharding.fill_table(["a"], 100)
+
+
+def test_write_sharded(spark, tmp_path):
+    docs = spark.range(500).select(F.lit(7).alias("k"), F.col("id"))
+    sharding.write_sharded(docs, str(tmp_path / "s"), "k", shards=4, files_per_shard=3)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == 500 and [r.shard for r in back.select("shard").distinct().collect()] == [r.shard for r in sharding.place(docs, "k", 4).select("shard").distinct().collect()]
+    assert len(list((tmp_path / "s").glob("shard=*/part-*.parquet"))) > 1
+
+
+def test_pack_in_a_given_order(spark):
+    docs = spark.createDataFrame([(i, "w " * 9, 100 - i) for i in range(50)], "doc_id long, text string, place int")
+    got = packing.pack(docs, budget=100, order=["place"]).orderBy("batch", "batch_row").collect()
+    assert [r.doc_id for r in got] == list(range(49, -1, -1)) and {r.bucket for r in got} == {10}

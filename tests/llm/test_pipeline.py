@@ -1,9 +1,10 @@
 import re
+from collections import Counter
 
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from loomspan.llm import langid
+from loomspan.llm import langid, mixing, packing
 from loomspan.plans.scratch import Scratch
 from tests.llm.test_text_operators import near_by_hand
 
@@ -23,6 +24,18 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert set(texts[3]) == {i for i, p in parts.items() if i == p}
     assert texts[4] == texts[3] and set(texts[5]) == set(texts[4])
     assert all(0 < r.n_tokens <= r.bucket for r in texts[5].values())
+    # the mix decides the order of the packed documents: each source's documents by id, its blocks in the slots of the schedule
+    by = {}
+    for i, r in sorted(texts[3].items()):
+        by.setdefault(r.source or "", []).append(i)
+    slots = mixing.schedule(mixing.tempered({x: len(y) for x, y in by.items()}), {x: -(-len(y) // mixing.BLOCK_ROWS) for x, y in by.items()})
+    order = [i for _, i in sorted(((slots[x][k // mixing.BLOCK_ROWS], k % mixing.BLOCK_ROWS), i) for x, y in by.items() for k, i in enumerate(y))]
+    assert [i for _, i in sorted((r.position, i) for i, r in texts[5].items())] == order != sorted(order)
+    ends = packing.boundaries(sorted(Counter(r.n_tokens for r in texts[5].values()).items()))
+    for end in ends:
+        inside = [texts[5][i] for i in order if min(e for e in ends if e >= texts[5][i].n_tokens) == end]
+        held = max(1, packing.TOKEN_BUDGET // end)
+        assert [(r.bucket, r.batch, r.batch_row) for r in inside] == [(end, k // held, k % held) for k in range(len(inside))]
 
 
 def test_run_on_an_empty_table(spark, tmp_path, sf_dir):

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomspan.llm import boilerplate, chroma, entry, langid, linedup, neardup, shingles, suffixlm, vecdup
+from loomspan.llm import boilerplate, chroma, entry, langid, linedup, mixing, neardup, packing, sharding, shingles, suffixlm, vecdup
 
 DOCS = "doc_id long, text string, lang string, source string, extra string"
 
@@ -229,6 +229,34 @@ def test_near_duplicate_edges(spark):
     assert neardup.query(docs.where("false")).count() == 0
 
 
+def test_repeated_ids_with_other_texts(spark):
+    """Of the texts that share an id one counts: links and cuts of one text do not reach the other."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    docs = "doc_id long, text string"
+    got = {r.doc_id: r.component_id for r in neardup.query(spark.createDataFrame([(1, a), (2, b), (7, a), (7, b)], docs)).collect()}
+    assert got[1] == 1 and got[2] == 2 and got[7] in (1, 2)
+    cut = linedup.dedup_lines(spark.createDataFrame([(1, a), (7, a), (7, b), (7, b)], docs)).collect()
+    left = sorted((r.doc_id, r.text) for r in cut)
+    assert left in ([(1, a), (7, ""), (7, b), (7, b)], [(1, a), (7, a), (7, b), (7, b)])
+
+
+OWN = ["rank", "_rank", "_at", "_id", "_bits", "_html", "_text", "_slot", "_guess", "_score", "_kind", "score", "slot", "shard", "version", "mark", "part", "_source", "_block"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Every operator that returns its input's columns, beside columns with the names that it uses itself."""
+    text = "the cat sat on the mat and the dog lay in the sun by the door of the old house"
+    rows = [(i, text + f" {i}", "en", "s", 10) for i in range(6)] + [(None, None, None, None, None), (6, "", "en", "s", 0), (6, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").withColumns({c: F.lit(f"own {c}") for c in OWN})
+    added = {"slot", "slot_row"}, {"shard"}, {"n_lines", "n_removed"}, {"n_tokens", "bucket", "batch", "batch_row"}
+    for out, new in zip((mixing.mix(docs), sharding.place(docs, "doc_id"), linedup.dedup_lines(docs), packing.pack(docs)), added, strict=True):
+        assert set(out.columns) == set(docs.columns) | new and out.count() == len(rows)
+        assert all(r[c] == f"own {c}" for r in out.collect() for c in OWN if c not in new)
+    for out in (langid.accept(docs, langid.learn(docs)), neardup.keep_one(docs), mixing.interleave(docs)):
+        assert out.columns == docs.columns and out.count() > 0
+        assert all(r[c] == f"own {c}" for r in out.collect() for c in OWN)
+
+
 def test_odd_sketch_bounds_and_estimates():
     rng = np.random.default_rng(1)
     pool = rng.integers(1, 1 << 63, 4000, dtype=np.uint64)
