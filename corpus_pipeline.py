@@ -4,12 +4,15 @@ Stages: language identification (texts whose language cannot be told go), line
 dedup (later repeats of runs of lines go, and texts of which nothing is left),
 near-duplicates (one document of each component stays), mixing (the rows are laid
 out so that reading them in file order follows the sources' target weights) and
-packing (every document gets its length bucket and batch).
+packing (every document gets its length bucket; a bucket's batches are filled in
+the order of the files, so training on them one after the other follows the mix).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.llm import langid, linedup, mixing, neardup, packing
@@ -41,9 +44,29 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.interleave(docs)
 
 
+def in_file_order(docs: DataFrame, position: str = "position") -> DataFrame:
+    """docs with ``position`` (long): 0, 1, 2... over the rows of its files, in the order of the files' numbers.
+
+    Files are read back in any order, so each row takes its place in its file
+    and the rows of the files before. That table has one row a file. What is not
+    read from files is numbered in the order of its partitions.
+    """
+    try:
+        rows = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        rows = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_file", F.lit("part-0"))
+        return rows.withColumn(position, F.col("_row")).select(*docs.columns, position)
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).try_cast("int")
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n")).withColumn("_part", number)
+    before = W.orderBy("_part", "_file").rowsBetween(W.unboundedPreceding, -1)
+    starts = files.select(F.col("_file").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    joined = rows.join(F.broadcast(starts), F.col("_file") == F.col("_of"))
+    return joined.withColumn(position, F.col("_start") + F.col("_row")).select(*docs.columns, position)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, bucket, batch, batch_row of every document."""
-    return packing.pack(docs, carry=["doc_id"])
+    """doc_id, position in the mix, n_tokens, bucket, batch, batch_row of every document; batches are filled in the order of the mix."""
+    return packing.pack(in_file_order(docs.select("doc_id", "text")), carry=["doc_id", "position"], order=["position"])
 
 
 STAGES = [("language_id", language), ("line_dedup", lines), ("near_dedup", near), ("mixing", mixed), ("packing", packed)]
