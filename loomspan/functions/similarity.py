@@ -10,24 +10,56 @@ def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
+#: Characters whose places are bits of one integer: an addition of two such integers and a carry stays far from overflow.
+WORD = 48
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with value computed once: inside a lambda an outer expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def common_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence: one row of the dynamic program, folded over a's characters."""
-    wide = _characters(b)
-    start = F.transform(wide, lambda _: F.lit(0))
+    """Length of the longest common subsequence, a row of the dynamic program at a time in the bits of a few integers (Crochemore et al., 2001).
+
+    A zero bit stands for a place of b at which the row rises. For each of a's
+    characters, with M the bits of its places in b, V becomes (V + (V & M)) | (V & ~M).
+    """
+    full = F.lit((1 << WORD) - 1).cast("long")
+
+    def masks_of(t: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(t["b"]) / WORD).cast("int") - 1), lambda k: F.reverse(F.slice(t["b"], k * WORD + 1, WORD)))
+
+        def masks(chunks: Column) -> Column:
+            def of(c: Column) -> Column:
+                return F.transform(chunks, lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda bits, y: bits * 2 + F.when(y == c, F.lit(1)).otherwise(F.lit(0))))
+
+            keys = F.array_distinct(t["b"])
+            return F.struct(t["a"].alias("a"), keys.alias("keys"), F.transform(keys, of).alias("masks"), F.transform(chunks, lambda _: full).alias("start"))
+
+        return _once(chunks, masks)
+
+    def rows(t: Column) -> Column:
+        def step(v: Column, x: Column) -> Column:
+            at = F.array_position(t["keys"], x).cast("int")
+
+            def added(m: Column) -> Column:
+                def word(done: Column, k: Column) -> Column:
+                    bits, mask = F.get(v, k), F.get(m, k)
+                    total = bits + bits.bitwiseAND(mask) + done["carry"]
+                    new = total.bitwiseAND(full).bitwiseOR(bits.bitwiseAND(F.bitwise_not(mask)))
+                    return F.struct(F.concat(done["v"], F.array(new)).alias("v"), F.shiftright(total, WORD).alias("carry"))
 
-    def step(row: Column, x: Column) -> Column:
-        # cells of the next row depend on the cell to the left, so they are folded in turn
-        cells = F.transform(wide, lambda c, i: F.struct(c.alias("c"), F.get(row, i).alias("up"), F.coalesce(F.get(row, i - 1), F.lit(0)).alias("corner")))
+                start = F.struct(F.array().cast("array<long>").alias("v"), F.lit(0).cast("long").alias("carry"))
+                return F.aggregate(F.sequence(F.lit(0), F.size(v) - 1), start, word, lambda done: done["v"])
 
-        def cell(done: Column, z: Column) -> Column:
-            left = F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))
-            value = F.when(z["c"] == x, z["corner"] + 1).otherwise(F.greatest(z["up"], left))
-            return F.concat(done, F.array(value))
+            return F.when(at == 0, v).otherwise(_once(F.get(t["masks"], at - 1), added))
 
-        return F.aggregate(cells, F.array().cast("array<int>"), cell)
+        last = F.aggregate(t["a"], t["start"], step)
+        return F.aggregate(last, F.lit(0), lambda n, v: n + WORD - F.bit_count(v))
 
-    last = F.aggregate(_characters(a), start, step)
-    return F.coalesce(F.array_max(last), F.lit(0))
+    both = F.struct(_characters(a).alias("a"), _characters(b).alias("b"))
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(_once(_once(both, masks_of), rows))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -60,6 +60,15 @@ def test_similarity_against_brute_force(spark):
             assert value == pytest.approx(want), (x, y)
 
 
+def test_long_strings_span_several_words(spark):
+    rng = random.Random(6)
+    pairs = [("".join(rng.choices("abcdef gh", k=rng.randint(40, 150))), "".join(rng.choices("abcdef gh", k=rng.randint(40, 150)))) for _ in range(25)]
+    pairs += [(x, x[:20] + x[25:]) for x, _ in pairs[:5]] + [("é" * 60, "é" * 49), ("", "a"), ("a" * 96, "a" * 48)]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    got = [r[0] for r in rows.orderBy("i").select(similarity.common_length(F.col("a"), F.col("b"))).collect()]
+    assert got == [lcs(a, b) for a, b in pairs]
+
+
 def test_known_scores(spark):
     rows = spark.createDataFrame([("Pipeline CRM", "Pipeliner CRM"), ("HubSpot", "HubSpot CRM")], "a string, b string")
     assert [round(r[0], 2) for r in rows.select(similarity.token_sort_ratio(F.col("a"), F.col("b"))).collect()] == [96.0, 77.78]
