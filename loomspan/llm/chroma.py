@@ -286,6 +286,8 @@ def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: s
         placed = hits if label is None else parted(hits, label)
         order = F.struct("rec_id") if turn == 0 else F.struct(F.xxhash64("rec_id", F.lit(turn)), "rec_id")
         elected = placed.groupBy("mark").agg(F.min_by(F.struct("rec_id", "part") if label is not None else F.struct("rec_id", F.col("rec_id").alias("part")), order).alias("hub"))
+        # written down, so that the join deals its rows anew and a landmark that many hold can be split
+        elected = scratch.keep(elected)
         met = placed.join(elected, "mark").where(F.col("rec_id") != F.col("hub.rec_id"))
         if label is not None:
             met = met.where(F.col("part") != F.col("hub.part"))
@@ -301,6 +303,7 @@ def match_recordings(recordings: DataFrame, key: str, audio: Column, encoding: s
     # then what still shares a mark across components
     placed = parted(hits, label)
     mixed = placed.groupBy("mark").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select("mark")
+    mixed = scratch.keep(mixed)
     placed = scratch.keep(placed.join(mixed, "mark", "left_semi"))
     x, y = (placed.select("mark", *(F.col(c).alias(d) for c, d in (("rec_id", e), ("pos", f"pos_{e}"), ("n_codes", f"n_{e}"), ("part", f"part_{e}")))) for e in "ab")
     meet = x.join(y, "mark").where("a < b and part_a != part_b").drop("part_a", "part_b")
