@@ -34,7 +34,7 @@ THRESHOLD = 0.93
 #: Chance that a pair exactly at the threshold shares a bucket.
 RECALL = 0.9995
 #: Rows of the largest label that share a bucket by chance, about.
-BUCKET_ROWS = 512
+BUCKET_ROWS = 1024
 #: Rows on either side of a tile.
 TILE_ROWS = 1024
 #: Buckets of more than a tile are broadcast up to this many; beyond it the join shuffles.
