@@ -215,7 +215,8 @@ def stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
-    ts, k = F.col("ts"), F.col("event_id") % 8
+    ts, k = F.col("ts"), F.col("event_id") % 13
+    week = F.concat(F.year("ts"), F.lit("-W"), F.lpad(F.weekofyear("ts").cast("string"), 2, "0"), F.lit("-"), (F.weekday("ts") + 1).cast("string"))
     raw = (
         F.when(k == 0, F.unix_timestamp(ts).cast("string"))
         .when(k == 1, F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss '+0000'"))
@@ -224,6 +225,11 @@ def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
         .when(k == 4, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'-04:00'"))
         .when(k == 5, F.date_format(ts, "yyyy-MM-dd"))
         .when(k == 6, F.concat(F.col("user_id").cast("string"), F.lit(" hours ago")))
+        .when(k == 7, F.date_format(ts, "dd MMM yy HH:mm:ss"))
+        .when(k == 8, F.date_format(ts, "EEE MMM d HH:mm:ss yyyy"))
+        .when(k == 9, F.date_format(ts, "yyyyMMdd'T'HHmmss'+0200'"))
+        .when(k == 10, F.date_format(ts, "yyyy-MM-dd HH"))
+        .when((k == 11) & (F.year(F.date_trunc("week", ts) + F.expr("INTERVAL 3 DAYS")) == F.year("ts")), week)
         .otherwise(F.lit("not a date"))
     )
     return _events(spark, sf).select("event_id", dates.iso_utc(dates.parse_datetime(raw, _now())).alias("parsed"))
@@ -559,8 +565,9 @@ def oracle_sql() -> dict[str, str]:
         "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in ("region", "nation", "customer", "supplier", "part", "orders")),
         "recent_rows": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey DESC LIMIT 50",
         "stage_metrics": f"SELECT event_type, count(*) AS raw_fetched, count(*) FILTER ({fresh}) AS survived, count(*) FILTER ({fresh} AND value > 10) AS saved FROM events GROUP BY 1",
-        "parse_dates": f"""SELECT event_id, {iso(f'''CASE event_id % 8 WHEN 0 THEN ts WHEN 1 THEN ts WHEN 2 THEN ts + INTERVAL 5 HOURS WHEN 3 THEN ts WHEN 4 THEN ts + INTERVAL 4 HOURS
-            WHEN 5 THEN date_trunc('day', ts) WHEN 6 THEN TIMESTAMP '{NOW}' - to_hours(user_id) END''')} AS parsed FROM events""",
+        "parse_dates": f"""SELECT event_id, {iso(f'''CASE event_id % 13 WHEN 0 THEN ts WHEN 1 THEN ts WHEN 2 THEN ts + INTERVAL 5 HOURS WHEN 3 THEN ts WHEN 4 THEN ts + INTERVAL 4 HOURS
+            WHEN 5 THEN date_trunc('day', ts) WHEN 6 THEN TIMESTAMP '{NOW}' - to_hours(user_id)
+            WHEN 7 THEN ts WHEN 8 THEN ts WHEN 9 THEN ts - INTERVAL 2 HOURS WHEN 10 THEN date_trunc('hour', ts) WHEN 11 THEN CASE WHEN isoyear(ts) = year(ts) THEN date_trunc('day', ts) END END''')} AS parsed FROM events""",
         "normalize_entity": f"WITH {_sql_entities()}, n AS (SELECT entity_id, {_sql_display('raw_name')} AS clean_name FROM scoped) SELECT entity_id, clean_name, {_sql_key('clean_name')} AS match_key FROM n",
         "seed_matches": f"WITH {_sql_resolved()} SELECT entity_id, seed AS seed_canonical FROM seeded",
         "blocking_pairs": f"{part_names}{blocks} SELECT id_a, id_b FROM pairs",

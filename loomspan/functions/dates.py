@@ -15,25 +15,60 @@ NOW_WORDS = ["just now", "moments ago", "active today", "today"]
 LAST_SECOND = 253402300799
 
 
-def _rfc(text: Column) -> Column:
-    shape = r"^(?:[A-Za-z]+\s*,\s*)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+(\d{1,2}:\d{2})(:\d{2})?(?:\s+([+-]\d{4}|[A-Za-z]{1,5}))?$"
-    day, month, year, clock, seconds, zone = (F.regexp_extract(text, shape, i) for i in range(1, 7))
+_CLOCK = r"(\d{1,2}:\d{2})(:\d{2})?"
+
+
+def _stamp(day: Column, month: Column, year: Column, clock: Column, seconds: Column, zone: Column) -> Column:
+    """A timestamp from the parts of an RFC 822 date. Two-digit years below 69 are of this century; a zone that is missing or has no known name is UTC."""
     offsets = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
-    # a zone that is missing or has no known name is UTC
     offset = F.coalesce(F.try_element_at(offsets, F.upper(zone)), F.when(zone.rlike(r"\d"), zone), F.lit("+0000"))
-    whole = F.concat(F.lpad(day, 2, "0"), F.lit(" "), F.initcap(month), F.lit(" "), year, F.lit(" "), F.lpad(clock, 5, "0"), F.when(seconds == "", F.lit(":00")).otherwise(seconds), offset)
-    return F.when(text.rlike(shape), F.try_to_timestamp(whole, F.lit("dd MMM yyyy HH:mm:ssxx")))
+    century = F.when(year.rlike(r"^\d{2}$"), F.when(year < "69", F.lit("20")).otherwise(F.lit("19"))).otherwise(F.lit(""))
+    whole = F.concat(F.lpad(day, 2, "0"), F.lit(" "), F.initcap(month), F.lit(" "), century, year, F.lit(" "), F.lpad(clock, 5, "0"), F.when(seconds == "", F.lit(":00")).otherwise(seconds), offset)
+    return F.try_to_timestamp(whole, F.lit("dd MMM yyyy HH:mm:ssxx"))
+
+
+def _rfc(text: Column) -> Column:
+    shape = rf"^(?:[A-Za-z]+\s*,\s*)?(\d{{1,2}})\s+([A-Za-z]{{3}})\s+(\d{{4}}|\d{{2}})\s+{_CLOCK}(?:\s+([+-]\d{{4}}|[A-Za-z]{{1,5}}))?$"
+    return F.when(text.rlike(shape), _stamp(*(F.regexp_extract(text, shape, i) for i in range(1, 7))))
+
+
+def _asctime(text: Column) -> Column:
+    """As C's asctime writes it: the month before the day, the year last."""
+    shape = rf"^(?:(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),?\s+)?([A-Za-z]{{3}})\s+(\d{{1,2}})\s+{_CLOCK}\s+(\d{{4}})$"
+    month, day, clock, seconds, year = (F.regexp_extract(text, shape, i) for i in range(1, 6))
+    return F.when(text.rlike(shape), _stamp(day, month, year, clock, seconds, F.lit("")))
 
 
 def _iso(text: Column) -> Column:
-    fits = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$")
-    dated = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    fits = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$")
+    dated = F.regexp_replace(F.regexp_replace(text, ",", "."), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    dated = F.regexp_replace(dated, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})($|Z|[+-])", "$1:00$2")
+    dated = F.regexp_replace(dated, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(Z|[+-])", "$1:00$2")
     dated = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).otherwise(dated)
     return F.when(fits, dated.try_cast("timestamp"))
 
 
+def _basic(text: Column) -> Column:
+    """ISO 8601 without separators: 20260904T135135, with or without a zone."""
+    shape = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})?(Z|[+-]\d{2}:?\d{2})?$"
+    year, month, day, hour, minute, second, zone = (F.regexp_extract(text, shape, i) for i in range(1, 8))
+    seconds = F.when(second == "", F.lit("")).otherwise(F.concat(F.lit(":"), second))
+    whole = F.concat(F.concat_ws("-", year, month, day), F.lit("T"), hour, F.lit(":"), minute, seconds, zone)
+    return F.when(text.rlike(shape), _iso(whole))
+
+
+def _week(text: Column) -> Column:
+    """An ISO week date, 2026-W36-5 or 2026-W36 (its Monday). Week 1 holds the fourth of January."""
+    shape = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?$"
+    year, week, day = F.regexp_extract(text, shape, 1), F.regexp_extract(text, shape, 2).try_cast("int"), F.regexp_extract(text, shape, 3)
+    first = F.date_trunc("week", F.concat(year, F.lit("-01-04")).try_cast("timestamp"))
+    days = (week - 1) * 7 + F.when(day == "", F.lit(0)).otherwise(day.try_cast("int") - 1)
+    weeks = F.weekofyear(F.concat(year, F.lit("-12-28")).try_cast("date"))
+    return F.when(text.rlike(shape) & (week >= 1) & (week <= weeks), first + F.make_dt_interval(days))
+
+
 def parse_datetime(raw: Column, now: Column) -> Column:
-    """A UTC timestamp from epoch seconds (digits), relative words, RFC 822 or ISO 8601; null if none fits.
+    """A UTC timestamp from epoch seconds (digits), relative words, RFC 822, asctime or ISO 8601 (also week dates); null if none fits.
 
     A string of digits is read as seconds whatever its length, so 20240101 is a
     day in 1970 and milliseconds are no date. Spellings are tried in that order.
@@ -47,7 +82,7 @@ def parse_datetime(raw: Column, now: Column) -> Column:
     scale = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
     ago = F.timestamp_seconds(F.unix_micros(now) / 1_000_000 - amount * F.try_element_at(scale, unit))
     relative = F.when(low.rlike(pattern), ago).when(low.isin(NOW_WORDS), now).when(low == "yesterday", now - F.expr("INTERVAL 1 DAY"))
-    return F.coalesce(epoch, relative, _rfc(text), _iso(text))
+    return F.coalesce(epoch, relative, _rfc(text), _asctime(text), _iso(text), _basic(text), _week(text))
 
 
 def iso_utc(ts: Column) -> Column:

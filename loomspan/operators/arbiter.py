@@ -58,6 +58,16 @@ def with_failover(models: Iterable[Model], attempts: int = 3, pause: float = 1.0
     return complete
 
 
+def probe(model: Model) -> dict:
+    """Whether a model answers at all: success, reply, error and the milliseconds that it took."""
+    began = time.monotonic()
+    try:
+        reply, error = model("You are being tested.", "Answer with the word ok."), None
+    except Exception as raised:  # noqa: BLE001  whatever a client raises
+        reply, error = None, repr(raised)
+    return {"success": error is None, "reply": reply, "error": error, "milliseconds": round((time.monotonic() - began) * 1000, 1)}
+
+
 def ask_about_pairs(pairs: DataFrame, model: Model) -> DataFrame:
     """(clean_a, clean_b, reply) for borderline pairs; a failing model gives a null reply."""
 

@@ -63,6 +63,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def init_tables(spark: SparkSession, root: str) -> list[str]:
+    """Make every table that does not exist yet, empty, at root/<name>; returns those made."""
+    made = []
+    for name, spec in TABLES.items():
+        if read_table(spark, f"{root}/{name}") is None:
+            spark.createDataFrame([], spec.ddl).write.parquet(f"{root}/{name}")
+            made.append(name)
+    return made
+
+
 def save(df: DataFrame, table: str, path: str, arrival: str, collected_at: Column, limit: int | None = None) -> int:
     """Append the rows of df that the table at path does not have yet, and return how many; with a limit, the first so many by arrival.
 

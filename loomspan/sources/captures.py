@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspan.functions import html, text
+from loomspan.plans.ranks import group_ranks
+from loomspan.plans.scratch import Scratch
 
 # What each news feed is called, and the author of items without one.
 NEWS_SITES = {"techcrunch": "TechCrunch AI", "theverge": "The Verge AI", "mit": "MIT News AI", "arstechnica": "Ars Technica AI", "wired": "Wired AI"}
@@ -205,6 +208,32 @@ def category_slugs(pages: DataFrame) -> DataFrame:
     return found.groupBy("slug").agg(F.min("place").alias("place")).select("slug", F.col("place.position").alias("position"))
 
 
+def crawled_slugs(pages: DataFrame, limit: int | None = None, max_pages: int = 6) -> DataFrame:
+    """(slug, place) of the products that crawled category pages (category, page, html) link to, each once, numbered from 0 in the order of first sight.
+
+    Categories and pages count from 0. A category's pages count up to max_pages
+    and end with the first one that shows nothing new in its category; the crawl
+    ends with the category that brings the slugs to three times the limit.
+    """
+    links = pages.where(F.col("page") < max_pages).select(
+        "category", "page", F.posexplode_outer(F.regexp_extract_all("html", F.lit(r"""<a\s[^>]*href\s*=\s*["']([^"']*)["']"""), 1)).alias("position", "href")
+    )
+    found = links.select("category", "page", "position", text.product_slug(F.col("href")).alias("slug"))
+    first = found.where("slug is not null").groupBy("category", "slug").agg(F.min(F.struct("page", "position")).alias("at"))
+    new = first.groupBy("category", F.col("at.page").alias("page")).agg(F.count("*").alias("new"))
+    stale = pages.select("category", "page").join(new, ["category", "page"], "left").where("new is null").groupBy("category").agg(F.min("page").alias("end"))
+    kept = first.join(stale, "category", "left").where(F.col("end").isNull() | (F.col("at.page") < F.col("end")))
+    seen = kept.groupBy("slug").agg(F.min(F.struct("category", "at")).alias("at"))
+    if limit is not None:
+        # one row a category: how many slugs there were before it
+        sums = seen.groupBy(F.col("at.category").alias("category")).agg(F.count("*").alias("n"))
+        before = F.coalesce(F.sum("n").over(W.orderBy("category").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        open_ = sums.select("category", before.alias("before")).where(F.col("before") < 3 * limit).select("category")
+        seen = seen.join(open_, F.col("at.category") == F.col("category"), "left_semi")
+    ranked = group_ranks(seen.withColumn("_all", F.lit(0)), "_all", ["at"], Scratch(pages.sparkSession, "slugs"), rank="place")
+    return ranked.select("slug", "place")
+
+
 def products(pages: DataFrame) -> DataFrame:
     """Product rows of captured product pages (slug, html); pages without a name go. The product stands for its company."""
     found = pages.select("slug", html.product_page(F.col("html")).alias("p")).where("p.product_name is not null")

@@ -98,10 +98,16 @@ def id_urls(base: str, start: int, count: int, step: int = -1) -> list[str]:
     return [f"{base}{start + i * step}" for i in range(count)]
 
 
-def page_urls(base: str, pages: int, size: int, offset: str = "start", count: str = "max_results") -> list[str]:
-    """URLs of a paged listing: so many pages of a size, by offset."""
-    joint = "&" if "?" in base else "?"
-    return [f"{base}{joint}{offset}={i * size}&{count}={size}" for i in range(pages)]
+def page_urls(base: str, size: int, pages: int | None = None, limit: int | None = None, offset: str = "start", count: str = "max_results") -> list[str]:
+    """URLs of a paged listing, page by page: so many pages, or as many as the limit on rows asks for, the last one no larger than needed."""
+    if pages is None and limit is None:
+        raise ValueError("a number of pages or a limit is needed")
+    joint, out, start = "&" if "?" in base else "?", [], 0
+    while (pages is None or len(out) < pages) and (limit is None or start < limit):
+        take = size if limit is None else min(size, limit - start)
+        out.append(f"{base}{joint}{offset}={start}&{count}={take}")
+        start += take
+    return out
 
 
 def until_misses(rows, limit: int = 20):

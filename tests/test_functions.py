@@ -153,3 +153,24 @@ def test_article_lengths():
     body = lambda n: "<article><p>" + "x" * n + "</p><p>" + "y" * 20 + "</p></article>"
     assert html.article_body(body(21), "wired") == "x" * 21
     assert html.article_body("<p>no container, whatever its length</p>", "wired") == ""
+
+
+def test_more_spellings_of_dates(spark):
+    now = F.lit("2026-09-05 00:00:00").cast("timestamp")
+    want = {
+        "04 Sep 26 17:18:00 GMT": "2026-09-04T17:18:00Z", "4 Sep 70 17:18": "1970-09-04T17:18:00Z", "Fri Sep  4 17:18:00 2026": "2026-09-04T17:18:00Z", "Sep 4 17:18:00 2026": "2026-09-04T17:18:00Z",
+        "20260904T135135Z": "2026-09-04T13:51:35Z", "20260904T1351+0200": "2026-09-04T11:51:00Z", "2026-09-04T13": "2026-09-04T13:00:00Z", "2026-09-04T13:51:35,5": "2026-09-04T13:51:35Z", "2026-W36-5": "2026-09-04T00:00:00Z",
+        "2026W36": "2026-08-31T00:00:00Z", "2026-09-04T13:51-04:00": "2026-09-04T17:51:00Z", "2026-W54-1": None, "Foo 4 17:18:00 2026": None, "20261304T000000": None,
+    }
+    rows = spark.createDataFrame([(k,) for k in want], "raw string")
+    assert {r.raw: r.at for r in rows.select("raw", dates.iso_utc(dates.parse_datetime(F.col("raw"), now)).alias("at")).collect()} == want
+
+
+def test_article_bodies_by_site():
+    long = "This paragraph is long enough to count as one of the text, and it goes on for a while."
+    page = f"<body><article><p>{long} One</p></article><div class='x duet--article--body'><p>{long}<b> Two </b>!<p>short</div><div class='entry-content wide'><p>{long} Three</p></div>"
+    page += f"<div itemprop='articleBody'><p>{long} Four</p></div><div data-testid='BodyWrapper'><p>{long} Five</p></div><div class='news-article--content'><p>{long} Six</p></div><span class='news-article--author'> A B </span></body>"
+    assert {site: html.article_body(page, site).split()[-1] for site in html.ARTICLE_CONTAINERS} == {"techcrunch": "Three", "theverge": "while.Two!", "mit": "Six", "arstechnica": "Four", "wired": "Five"}
+    alone = f"<article><p><b>{long}<br><p>{long} Two</article>"
+    assert html.article_body(alone, "techcrunch") == "" and all(html.article_body(alone, s) == f"{long}\n\n{long} Two" for s in ("theverge", "mit", "arstechnica", "wired"))
+    assert html.article_author(page, "mit") == "A B" and html.article_author(page, "wired") is None

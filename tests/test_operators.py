@@ -206,6 +206,109 @@ def test_export_tabs(spark, tmp_path):
         export.tab(rows, "nothing")
 
 
+def test_absent_tables_have_empty_tabs(spark, tmp_path):
+    export.write_tabs({}, str(tmp_path / "out"), spark)
+    for name in ("startups", "products", "research_papers", "jobs", "news", "entity_mapping_log"):
+        found = spark.read.csv(str(tmp_path / "out" / name), header=True)
+        assert found.count() == 0 and len(found.columns) > 4
+
+
+def test_saved_rows_are_numbered_and_limited(spark, tmp_path):
+    at = F.lit("2024-01-30 00:00:00").cast("timestamp")
+    news = [(i, "s", "u", f"t{i}", f"http://n/{i % 7}", "2024-01-01 00:00:00", None, "sum" if i % 2 else None, "", "FULL_TEXT") for i in range(20, 0, -1)]
+    rows = spark.createDataFrame(news, "n int, source_name string, source_url string, title string, url string, published_date string, author string, summary string, full_text string, content_type string")
+    rows = rows.withColumn("published_date", F.col("published_date").cast("timestamp"))
+    path = str(tmp_path / "news")
+    assert [ingest.save(rows, "news", path, "n", at, limit=x) for x in (3, None, None)] == [3, 4, 0]
+    got = spark.read.parquet(path).orderBy("id").collect()
+    assert [r.id for r in got] == list(range(1, 8)) and [r.title for r in got] == [f"t{i}" for i in range(1, 8)]
+    assert got[0].full_text == "sum" and got[1].full_text == "" and export.tab(spark.read.parquet(path), "news").count() == 7
+    papers = spark.createDataFrame([("P", ["A", "B"], "https://arxiv.org/abs/2401.1v2", None, None, "2024", "arXiv"), ("P", None, "https://arxiv.org/abs/2401.1", None, None, "2024", "arXiv")], "title string, authors array<string>, paper_url string, github_url string, github_stars int, published_date string, source_name string")
+    assert ingest.save(papers, "research_papers", str(tmp_path / "p"), "title", at) == 1
+    startups = spark.createDataFrame([("s", "u", "A", 1), ("s", "u", "A", 2), ("s", "u", None, 3), ("s", "u", None, 4)], "source_name string, source_url string, entity_name string, employee_count int")
+    assert ingest.save(startups, "startups", str(tmp_path / "s"), "employee_count", at) == 3
+    products = spark.createDataFrame([("s", "u", "A", "FREE"), ("s", "v", "A", "CHEAP")], "source_name string, source_url string, startup_name string, pricing_model string")
+    assert ingest.save(products, "products", str(tmp_path / "q"), "source_url", at) == 2
+    assert [r.pricing_model for r in spark.read.parquet(str(tmp_path / "q")).orderBy("id").collect()] == ["FREE", None]
+    jobs = spark.createDataFrame([("s", "u", "T", "C", True, "Sales", "j", "d"), ("s", "u", "T", None, True, "Sales", "k", "d")], "source_name string, source_url string, title string, company string, is_remote boolean, role_family string, job_url string, description string").withColumn("published_date", at)
+    assert ingest.save(jobs, "jobs", str(tmp_path / "j"), "job_url", at) == 1
+    assert set(ingest.init_tables(spark, str(tmp_path))) == {"research_papers", "seen_urls", "entity_mapping_log"} | ({"startups", "products", "jobs"})
+    assert ingest.init_tables(spark, str(tmp_path)) == []
+
+
+def test_hiring_thread(spark, tmp_path):
+    (tmp_path / "story.json").write_text(json.dumps({"hits": [{"objectID": "77", "title": "Who is hiring"}]}))
+    body = "Acme | Senior Engineer | Remote<p>We build things of all kinds."
+    hits = [{"objectID": "1", "parent_id": 77, "created_at": "2024-01-01T00:00:00Z", "comment_text": body}, {"objectID": "2", "parent_id": 1, "created_at_i": 5, "comment_text": body}, {"objectID": " ", "parent_id": 77, "comment_text": body}]
+    (tmp_path / "comments.json").write_text(json.dumps({"hits": hits}))
+    story = captures.latest_thread(spark, str(tmp_path / "story.json"))
+    got = captures.hiring_comments(spark, str(tmp_path / "comments.json"), story).collect()
+    assert story == "77" and [(r.job_url, r.company, r.title) for r in got] == [("https://news.ycombinator.com/item?id=1", "Acme", "Senior Engineer")]
+    assert captures.hiring_comments(spark, str(tmp_path / "comments.json")).count() == 2  # a keyword search has no thread
+    (tmp_path / "none.json").write_text(json.dumps({"hits": []}))
+    assert captures.latest_thread(spark, str(tmp_path / "none.json")) is None
+
+
+def test_feed_as_a_browser_shows_it(spark, tmp_path):
+    feed = "<rss><channel><item><title>T</title><link>http://a/b</link><description>&lt;p&gt;S&lt;/p&gt;</description></item></channel></rss>"
+    import html as html_lib
+
+    (tmp_path / "page.html").write_text(f"<html><body><pre>{html_lib.escape(feed)}</pre></body></html>")
+    assert [(r.title, r.url, r.author, r.summary) for r in captures.rss_from_pages(spark, str(tmp_path / "page.html"), "mit").collect()] == [("T", "http://a/b", "MIT News Office", "S")]
+
+
+def test_crawled_slugs(spark):
+    link = lambda *slugs: "".join(f'<a href="/{s}-alternatives">x</a>' for s in slugs)
+    pages = spark.createDataFrame([(0, 0, link("b", "a")), (0, 1, link("a", "c")), (0, 2, link("a")), (0, 3, link("d")), (1, 0, link("c", "e")), (2, 0, link("f")), (1, 1, None)], "category int, page int, html string")
+    slugs = lambda **k: [r.slug for r in captures.crawled_slugs(pages, **k).orderBy("place").collect()]
+    assert slugs() == ["b", "a", "c", "e", "f"] and slugs(limit=1) == ["b", "a", "c"] and slugs(max_pages=1) == ["b", "a", "c", "e", "f"]
+
+
+def test_star_counts(spark):
+    from loomspan.sources import stars
+
+    def fetch(url):
+        if "bad" in url:
+            raise OSError
+        return {"https://api.github.com/repos/o/r": '{"stargazers_count": 7}'}.get(url, "[]")
+
+    rows = spark.createDataFrame([("https://github.com/o/r.git",), ("https://github.com/o/r.git",), ("https://github.com/bad/r",), ("https://x.org",), (None,)], "u string")
+    assert {r.url: r.stars for r in stars.star_counts(rows, "u", fetch).collect()} == {"https://github.com/o/r.git": 7, "https://github.com/bad/r": None, "https://x.org": None}
+
+
+def test_paging_and_odd_addresses():
+    assert web.page_urls("http://x/q?a=1", 200, limit=450)[-1] == "http://x/q?a=1&start=400&max_results=50" and len(web.page_urls("http://x/q", 10, pages=3)) == 3
+    reader = web.WebReader({"urls": "http://[bad nonsense://x", "pause": "0", "attempts": "1"})
+    assert [r[1:] for p in reader.partitions() for r in reader.read(p)] == [(0, None), (0, None)]
+    walk = web.WebReader({"urls": " ".join(f"nope://h/{i}" for i in range(9)), "pause": "0", "attempts": "1", "stopAfterMisses": "3"})
+    assert sum(1 for p in walk.partitions() for _ in walk.read(p)) == 3
+
+
+def test_rate_limits_are_waited_for():
+    calls = []
+
+    def limited(system, user):
+        calls.append(1)
+        raise arbiter.RateLimited
+
+    def broken(system, user):
+        calls.append(2)
+        raise OSError
+
+    assert arbiter.with_failover([limited, broken, lambda s, u: "ok"], pause=0)("s", "u") == "ok" and calls == [1, 1, 1, 2]
+    assert arbiter.probe(broken)["success"] is False and arbiter.probe(lambda s, u: "ok")["reply"] == "ok"
+
+
+def test_a_new_log_replaces_the_old_one_whole(spark, tmp_path):
+    log = resolve.resolve(spark.createDataFrame([(5, "Acme", "JOB", "s", "u"), (9, "Beta", "JOB", "s", "u")], "entity_id long, raw_name string, entity_type string, source_name string, source_url string"))
+    at = F.lit("2024-01-30 00:00:00").cast("timestamp")
+    path = str(tmp_path / "log")
+    assert resolve.save_mappings(log, path, at) == 2 and resolve.save_mappings(log.where("raw_name = 'Acme'"), path, at) == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["log"]
+    assert [r.raw_name for r in export.tab(spark.read.parquet(path), "entity_mapping_log").collect()] == ["Acme"]
+    assert [r.raw_name for r in resolve.mappings_like(spark.read.parquet(path), "CM").collect()] == ["Acme"] and resolve.mappings_like(spark.read.parquet(path), "%").count() == 0
+
+
 def test_comments(spark):
     rows = spark.createDataFrame([(1, "Acme | Senior Engineer | Remote &amp; more<p>We sell."), (2, "no pipe here at all"), (3, "Hello | x | y<p>z")], "i int, comment_text string")
     got = captures.parse_comments(rows).collect()
