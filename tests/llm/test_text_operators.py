@@ -41,6 +41,41 @@ def test_held_out_accuracy(spark, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got.collect())
 
 
+def test_language_query_against_brute_force(spark, sf_dir):
+    """Profiles, ranks, distances and ties of the whole query, from plain counters."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+
+    def counts_of(text):
+        out = collections.Counter()
+        for word in "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text or "").split():
+            marked = f" {word} "
+            out.update(marked[i : i + n] for n in (1, 2, 3) for i in range(len(marked) - n + 1) if marked[i : i + n] != " ")
+        return out
+
+    def value(gram):
+        points = [0 if c == " " else ord(c) for c in gram]
+        return sum(p << 21 * k for k, p in enumerate(reversed(points))) | (len(gram) == 2) << 62
+
+    def ranks(counts):
+        return sorted(counts, key=lambda g: (-counts[g], value(g)))[:400]
+
+    totals = collections.defaultdict(collections.Counter)
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            totals[r.lang].update(counts_of(r.text))
+    places = {lang: {g: i for i, g in enumerate(ranks(c))} for lang, c in totals.items()}
+    got = {r.doc_id: r for r in entry.op3_language_id(spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        own = ranks(counts_of(r.text))
+        if not own:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        far = {lang: sum(min(400, abs(p[g] - i)) if g in p else 400 for i, g in enumerate(own)) for lang, p in places.items()}
+        best = min(far, key=lambda x: (far[x], x))
+        assert got[r.doc_id].lang_pred == best and got[r.doc_id].score == pytest.approx(1 - far[best] / (400 * len(own)))
+
+
 def test_language_edges(spark):
     rows = [(1, "the cat and the dog", "en", "s", "x"), (2, None, "en", "s", "x"), (3, "", None, None, None), (4, "le chat et le chien", "fr", "s", "x"), (4, "le chat et le chien", "fr", "s", "x"), (None, "123", "en", None, "x")]
     docs = spark.createDataFrame(rows, DOCS).withColumn("score", F.lit("clash"))
