@@ -22,6 +22,8 @@ from loomspan.streaming import ingest as streams
 NOW = "2024-01-30 00:00:00"
 SUFFIXES = ["", ", Inc.", " LLC", " GmbH", " Technologies", " Software Group"]
 LABELS = ["Free", "Open Source", "Free Trial", "14-day free trial", "Paid plans", "Enterprise", "contact us", "subscription"]
+# the references that the tables' names could hold; the SQL needs no others
+REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 TITLES = ["Senior Software Engineer", "Remote", "$120k", "Data Wizard", "https://jobs.example.com", "Head of Sales", "python", "full-time"]
 
 
@@ -74,7 +76,7 @@ def _sql_pick(values: list[str], index: str) -> str:
 
 def _sql_display(x: str) -> str:
     out = x
-    for reference, value in names.REFERENCES:
+    for reference, value in REFERENCES:
         out = f"replace({out}, {_quote(reference)}, {_quote(value)})"
     out = f"regexp_replace(regexp_replace(trim({out}), '(?i)^https?://', ''), '(?i)^www\\.', '')"
     out = f"trim(split_part({out}, '/', 1))"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,8 +16,10 @@ LEGAL_WORDS = [
 DOMAIN_ENDINGS = ["com", "io", "ai", "co", "org", "net", "so", "app", "sh", "art", "dev", "tech", "me", r"co\.uk", "de", "eu"]
 # Whole words removed from seed keys.
 SEED_WORDS = ["inc", "incorporated", "llc", "pbc", "ltd", "limited", "corp", "corporation", "gmbh", "sas", "se", "co", "company"]
-# Named character references decoded in names, the ampersand's own last so that each is decoded once.
-REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# Named references that count without their semicolon too.
+BARE_REFERENCES = ["amp", "AMP", "lt", "LT", "gt", "GT", "quot", "QUOT", "nbsp", "copy", "reg"]
+#: All named references of letters, marks and punctuation, as "\x01name\x02character" one after the other: a lookup is one search in a text.
+NAMED_REFERENCES = "".join(f"\x01{name[:-1]}\x02{text}" for name, text in sorted(html5.items()) if name.endswith(";") and len(text) == 1 and ord(text) < 0x2200) + "\x01"
 
 LEGAL_PATTERN = rf"(?i)(?:,\s*|\s+)\b({'|'.join(LEGAL_WORDS)})\b\.?"
 DOMAIN_PATTERN = rf"(?i)\.({'|'.join(DOMAIN_ENDINGS)})$"
@@ -33,11 +37,29 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
 
 
+def _reference(body: Column) -> Column:
+    """The character that a reference's name or number stands for; null if none."""
+    at = F.concat(F.lit("\x01"), body, F.lit("\x02"))
+    named = F.when(body != "", F.nullif(F.split_part(F.split_part(F.lit(NAMED_REFERENCES), at, F.lit(2)), F.lit("\x01"), F.lit(1)), F.lit("")))
+    number = F.when(body.rlike("^#[0-9]+$"), F.substring(body, 2, 9).try_cast("long")).when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 9), 16, 10).try_cast("long"))
+    valid = number.between(32, 126) | number.between(160, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.coalesce(F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")), named)
+
+
 def unescape(col: Column) -> Column:
-    """The character references that names carry; the HTML readers decode all of them."""
-    for reference, text in REFERENCES:
-        col = F.replace(col, F.lit(reference), F.lit(text))
-    return col
+    """Character references decoded, each once: numbers, and the names of letters, marks and punctuation. Unknown ones stay."""
+
+    def decoded(part: Column) -> Column:
+        body = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        bare = F.regexp_extract(part, rf"^({'|'.join(BARE_REFERENCES)})", 1)
+        return F.coalesce(
+            F.concat(_reference(body), F.substr(part, F.length(body) + 2)), F.concat(_reference(bare), F.substr(part, F.length(bare) + 1)), F.concat(F.lit("&"), part)
+        )
+
+    def whole(parts: Column) -> Column:
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decoded), ""))
+
+    return F.when(F.contains(col, F.lit("&")), let(F.split(col, "&"), whole)).otherwise(col)
 
 
 def display_name(raw: Column) -> Column:

@@ -174,3 +174,14 @@ def test_article_bodies_by_site():
     alone = f"<article><p><b>{long}<br><p>{long} Two</article>"
     assert html.article_body(alone, "techcrunch") == "" and all(html.article_body(alone, s) == f"{long}\n\n{long} Two" for s in ("theverge", "mit", "arstechnica", "wired"))
     assert html.article_author(page, "mit") == "A B" and html.article_author(page, "wired") is None
+
+
+def test_character_references(spark):
+    import html as html_lib
+
+    texts = ["Nestl&eacute;", "AT&amp;T", "&amp;lt;", "A & B", "&", "", None, "&#233;&#xE9;&#X41;", "x&hellip;y&mdash;z", "&unknown; &eacute", "M&amp M &ltb", "&&amp;&", "Zo&euml; &Auml;&Ouml;&szlig; &bull;", "&#0; &#xD800;", "&copy 2024 &rsquo;"]
+    want = [None if t is None else html_lib.unescape(t) for t in texts]
+    want[texts.index("&unknown; &eacute")] = "&unknown; &eacute"  # of names without their semicolon only the commonest count
+    want[texts.index("&#0; &#xD800;")] = "&#0; &#xD800;"  # what is no character stays
+    assert apply(spark, texts, names.unescape) == want
+    assert apply(spark, ["Nestl&eacute; GmbH"], names.display_name) == ["Nestlé"]
