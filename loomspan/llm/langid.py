@@ -148,8 +148,8 @@ class Judge:
         return self.names[best], float(1.0 - far[best] / (len(own) * self.size))
 
 
-def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """docs with the prediction and its score under the given names (columns of those names are replaced).
+def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text", names: tuple[str, str] = ("lang_pred", "score"), carry: list[str] | None = None) -> DataFrame:
+    """docs, or their carried columns, with the prediction and its score under the given names (columns of those names are replaced).
 
     The score is 1 minus the distance over its greatest possible value: 1 for a
     text that repeats a profile's order, 0 for one that shares no n-gram with
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text
     first. The language and source columns are not read. Rows that repeat are
     judged each for itself; an empty table gives an empty result.
     """
-    keep = [c for c in docs.columns if c not in names]
+    keep = [c for c in (docs.columns if carry is None else carry) if c not in names]
 
     def run(batches):
         judge = Judge(profiles, size)
@@ -171,7 +171,7 @@ def identify(docs: DataFrame, profiles: dict, size: int = 400, text: str = "text
             )
 
     schema = docs.select(*keep).schema.add(names[0], "string").add(names[1], "double")
-    return docs.select(*keep).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
 def usual_scores(marked: DataFrame, lang: str, guess: str, score: str, kind: str) -> tuple[DataFrame, DataFrame]:
@@ -194,13 +194,14 @@ def accept(docs: DataFrame, profiles: dict, size: int = 400, min_score: float =
     most 9 bounds a language are broadcast.
     """
     guess, score, kind, g, k, g2, by_, whole_ = fresh(docs.columns, "_guess", "_score", "_kind", "_g", "_k", "_g2", "_by", "_whole")
-    length = F.char_length("text")
+    sized = docs.withColumn(kind, F.floor(F.log2(F.least(F.greatest(F.char_length("text"), F.lit(16)), F.lit(4096)))).cast("int"))
     scratch = Scratch(docs.sparkSession, "langid")
-    sized = identify(docs, profiles, size, names=(guess, score))
-    marked = scratch.keep(sized.withColumn(kind, F.floor(F.log2(F.least(F.greatest(length, F.lit(16)), F.lit(4096)))).cast("int")))
-    by, whole = (scratch.keep(x) for x in usual_scores(marked, lang, guess, score, kind))
+    # the scores are kept without the texts, which are judged again below: that costs less than another copy of the corpus
+    judged = scratch.keep(identify(sized.where(F.col(lang).isNotNull()).select("text", lang, kind), profiles, size, names=(guess, score), carry=[lang, kind]))
+    by, whole = (scratch.keep(x) for x in usual_scores(judged, lang, guess, score, kind))
     by, whole = by.select(F.col("g").alias(g), F.col("k").alias(k), F.col("by").alias(by_)), whole.select(F.col("g").alias(g2), F.col("whole").alias(whole_))
-    told = marked.where(F.col(guess) != UNDETERMINED).join(F.broadcast(by), (F.col(guess) == F.col(g)) & (F.col(kind) == F.col(k)), "left").join(F.broadcast(whole), F.col(guess) == F.col(g2), "left")
+    told = identify(sized, profiles, size, names=(guess, score)).where(F.col(guess) != UNDETERMINED)
+    told = told.join(F.broadcast(by), (F.col(guess) == F.col(g)) & (F.col(kind) == F.col(k)), "left").join(F.broadcast(whole), F.col(guess) == F.col(g2), "left")
     usual = F.coalesce(by_, whole_, F.lit(0.0))
     return told.where((F.col(score) >= min_score) & (F.col(score) >= USUAL_SHARE * usual)).select(*docs.columns)
 
