@@ -55,6 +55,19 @@ def test_components_against_union_find(spark):
     assert {(r.id, r.component) for r in got} == want and len(got) == len(want)
 
 
+def test_components_are_the_same_in_one_task_and_in_rounds(spark, monkeypatch):
+    from loomspan.plans import components as module
+
+    rng = random.Random(11)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 560)] + [(None, 3), (7, 7)]
+    rows = spark.createDataFrame(links, "a long, b long")
+    want = {tuple(r) for r in components(rows).collect()}
+    monkeypatch.setattr(module, "FEW_LINKS", -1)
+    assert {tuple(r) for r in components(rows).collect()} == want and len({c for _, c in want}) > 10
+    with pytest.raises(RuntimeError):
+        components(rows, rounds=1)
+
+
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
