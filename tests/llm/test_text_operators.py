@@ -130,6 +130,14 @@ def test_main_text_without_article():
     assert boilerplate.extract(page) == f"A day\n\n{GOOD_TEXT}\n\nWe went.\n\n{GOOD_TEXT}\n\nThe end."
 
 
+def test_furniture_by_name():
+    for odd in ('class="commentList"', "class=commentlist", 'id="disqus_thread"', 'class="post relatedPosts"', 'id="header"', 'id="site-header"', 'role="navigation"', 'class="ad-slot"', 'style="display: none"', "hidden"):
+        page = f"<body><div {odd}><p>{GOOD_TEXT} Not this.</p></div><div><h1>T</h1><p>{GOOD_TEXT}</p></div></body>"
+        assert boilerplate.extract(page) == f"T\n\n{GOOD_TEXT}", odd
+    for fine in ('class="article-header"', 'class="headerText"', 'id="content"', 'class="adage commentary shared"', 'data-id="header"'):
+        assert "This one." in boilerplate.extract(f"<body><div {fine}><p>{GOOD_TEXT} This one.</p></div><div><p>{GOOD_TEXT}</p></div></body>"), fine
+
+
 def test_a_teaser_in_an_article_does_not_hide_the_text():
     page = f"<body><article><h2>More of this</h2><p>Only a teaser.</p></article><div><h1>A day</h1><p>{GOOD_TEXT}</p><p>{GOOD_TEXT}</p></div></body>"
     assert f"A day\n\n{GOOD_TEXT}\n\n{GOOD_TEXT}" in boilerplate.extract(page)
