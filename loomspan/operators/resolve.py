@@ -129,7 +129,8 @@ def borderline_pairs(entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) ->
     found = _distinct_names(entities)
     pairs = candidate_pairs(entities.join(found.select("entity_id"), "entity_id", "left_semi"), max_prefix)
     a, b = (found.select(F.col("entity_id").alias(f"id_{x}"), F.col("clean_name").alias(f"clean_{x}"), F.col("match_key").alias(f"key_{x}")) for x in "ab")
-    named = pairs.join(a, "id_a").join(b, "id_b").where("key_a != key_b")
+    # clean names have single spaces, so sorting their words keeps their lengths, which rule most pairs out before they are scored
+    named = pairs.join(a, "id_a").join(b, "id_b").where("key_a != key_b").where(similarity.may_reach(F.col("clean_a"), F.col("clean_b"), BORDERLINE))
     return score_pairs(named).where("tier = 3").select("clean_a", "clean_b", "token_sort", "ratio")
 
 
