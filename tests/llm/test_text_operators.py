@@ -401,6 +401,33 @@ def test_repeats_with_another_first_place(spark):
     assert {i: got[i].text for i in texts} == lines_by_hand(texts)
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_documents_are_cut_exactly(spark, sf):
+    """Every line in a repeated run of 50 words goes and no other does. A run is the union of the shortest such runs from each of its lines and up to each."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    seen, want = set(), {}
+    for i in sorted(texts):
+        raw = (texts[i] or "").split("\n")
+        lines = [" ".join(x.split()) for x in raw]
+        total = np.concatenate([[0], np.cumsum([len(x.split()) for x in raw])])
+        runs = set()
+        for k in range(len(lines)):
+            if total[-1] - total[k] >= 50:
+                runs.add((k, int(np.searchsorted(total, total[k] + 50))))
+            if total[k + 1] >= 50:
+                runs.add((int(np.searchsorted(total, total[k + 1] - 50, side="right")) - 1, k + 1))
+        gone = set()
+        for a, b in sorted(runs):
+            run = tuple(lines[a:b])
+            if run in seen:
+                gone.update(range(a, b))
+            seen.add(run)
+        want[i] = "\n".join(x for k, x in enumerate(raw) if k not in gone)
+    got = {r.doc_id: r.text for r in linedup.dedup_lines(docs).collect()}
+    assert {i: t or "" for i, t in got.items()} == want and sum(len(texts[i] or "") != len(t) for i, t in want.items()) > 3
+
+
 def test_line_edges(spark):
     rows = spark.createDataFrame([(None, "a"), (1, "b"), (1, "b")], "doc_id long, text string")
     assert linedup.dedup_lines(rows).count() == 3 and linedup.dedup_lines(rows.where("false")).count() == 0
