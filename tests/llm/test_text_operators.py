@@ -232,7 +232,13 @@ def least_reachable(nodes, links):
 def near_by_hand(texts, percent):
     sets = {i: shingles_of(t) for i, t in texts.items()}
     ids = sorted(sets)
-    links = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if (both := len(sets[a] & sets[b])) and 100 * both >= percent * len(sets[a] | sets[b])]
+    held, links = collections.defaultdict(list), []
+    for b in ids:
+        common = collections.Counter()
+        for shingle in sets[b]:
+            common.update(held[shingle])
+            held[shingle].append(b)
+        links += [(a, b) for a, both in common.items() if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both)]
     return {i: len(s) for i, s in sets.items()}, least_reachable(ids, links)
 
 
@@ -243,8 +249,9 @@ def check_near(docs, percent=85):
     assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got} == {(i, sizes[i], parts[i], parts[i] == i) for i in texts} and len(got) == len(texts)
 
 
-def test_near_duplicates_against_brute_force(spark, sf_dir):
-    check_near(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_near_duplicates_against_brute_force(spark, sf):
+    check_near(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text"))
 
 
 def test_near_duplicate_group(spark):
