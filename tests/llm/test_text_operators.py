@@ -543,13 +543,13 @@ def tokens_by_hand(text):
 SMALL = suffixlm.Settings(depth=4, min_symbol=12, min_context=6, min_pair=2)
 
 
-@pytest.mark.parametrize("limits", [{}, {"held_pairs": 200, "known_share": 1e-2}, {"held_pairs": 0, "filter_bits": 8, "min_divergence": 0.2}, {"depth": 2}, {"depth": 5, "min_pair": 6}])
+@pytest.mark.parametrize("limits", [{}, {"held_pairs": 200, "known_share": 1e-2}, {"held_pairs": 0, "filter_bits": 8, "min_divergence": 0.2}, {"depth": 2}, {"depth": 1}, {"depth": 5, "min_pair": 6}])
 def test_scores_against_a_tree_by_hand(spark, sf_dir, limits):
     s = SMALL._replace(**limits)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 20000")
     texts = {r.doc_id: tokens_by_hand(r.text) for r in docs.collect()}
     tree = TreeByHand([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2], s)
-    assert sum(len(x) == min(3, s.depth) for x in tree.states) > 3
+    assert sum(len(x) == min(3, s.depth) for x in tree.states) > 3 and max(map(len, tree.states)) >= min(4, s.depth)
     got = suffixlm.query(docs, s).collect()
     assert len(got) == len(texts)
     for r in got:
@@ -582,7 +582,7 @@ def test_a_larger_corpus_has_a_larger_tree(spark):
                     w = int(after[w][rng.integers(0, 2)])
                 rows.append((len(rows), " ".join(out)))
         model, _, _ = suffixlm.learn(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t"), SMALL)
-        sizes.append((sum(int(x.sum()) for x in model.tree.is_state), len(model.tree.pairs)))
+        sizes.append((sum(int(x.is_state.sum()) for x in model.tree.levels), sum(int(x.is_held.sum()) for x in model.tree.levels)))
     assert all(b > 1.5 * a for a, b in zip(*sizes, strict=True))
 
 
