@@ -122,6 +122,43 @@ def op10_suffix_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixlm.query(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and the clusters' inertia of every usable vector, after five rounds of k-means in integers.
+
+    Null vectors, those of another length and those with components that are
+    null, not finite or beyond 2^19 have no row; labels are not read; rows that
+    repeat an id count each; rows without an id are clustered and start a
+    centroid last; equally near centroids: the smaller number.
+    """
+    from loomspan.llm import balltree
+
+    return balltree.query(table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the archives that it was written to.
+
+    A null html is empty; null and odd URLs are encoded; rows without an id are
+    responses; of rows that repeat id and html one is a response, the others
+    revisit it. Very long pages are written and read one at a time.
+    """
+    from loomspan.llm import warc
+
+    return warc.query(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of repeated words of every whole text, and what is left without them.
+
+    Null, empty and blank texts have no words and no runs; rows that repeat come
+    out alike; a null id stays null and its text is taken as it is. A very long
+    text is one task's work, in time n log n.
+    """
+    from loomspan.llm import periodic
+
+    return periodic.query(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's packed documents; see corpus_pipeline.py."""
     import corpus_pipeline
@@ -141,15 +178,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_vector_duplicates": op8_vector_duplicates,
         "op9_line_dedup": op9_line_dedup,
         "op10_suffix_scores": op10_suffix_scores,
+        "op11_centroid_clusters": op11_centroid_clusters,
+        "op12_warc_archive": op12_warc_archive,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from loomspan.llm import mixing, packing, sharding
+    from loomspan.llm import balltree, mixing, packing, sharding, warc
 
     return {
         "op2_source_mixing": mixing.oracle(),
         "op5_packing": packing.oracle(),
         "op7_shard_placement": sharding.oracle(),
+        "op11_centroid_clusters": balltree.oracle(),
+        "op12_warc_archive": warc.oracle(),
     }
