@@ -532,7 +532,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ]
     out = {f.__name__: f for f in plain}
     out |= {f"role_family_{board}": _role_family(board) for board in text.ROLE_KEYWORDS}
-    return out | {f"export_{table}": _export(table) for table in TABS}
+    from loomspan import catalog_pages
+
+    return out | {f"export_{table}": _export(table) for table in TABS} | catalog_pages.queries()
 
 
 def oracle_sql() -> dict[str, str]:
@@ -665,7 +667,9 @@ def oracle_sql() -> dict[str, str]:
         SELECT conv_id, turn, company, title, regexp_matches(d, {_quote('(?i)' + word(['remote']))}) AS is_remote, CASE {families} END AS role_family FROM r"""
     for board in text.ROLE_KEYWORDS:
         out[f"role_family_{board}"] = f"SELECT conv_id, turn, {_sql_family('text', board)} AS role_family FROM conversations"
-    return out
+    from loomspan import catalog_pages
+
+    return out | catalog_pages.oracle_sql()
 
 
 def _sql_family(x: str, board: str) -> str:

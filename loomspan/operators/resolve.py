@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.functions import names, similarity
+from loomspan.operators import simjoin
 from loomspan.plans.components import components
 from loomspan.plans.ranks import group_ranks
 from loomspan.plans.scratch import Scratch
@@ -16,6 +17,8 @@ from loomspan.sources.seed import seed_lookup
 #: Prefix blocks with more members are skipped; key and word blocks never are.
 MAX_PREFIX_BLOCK = 500
 CONFIDENT, BORDERLINE = 98.0, 75.0
+#: Names in one piece of a listing of variants.
+RUN = 4096
 #: A decision links two names from this score on and below CONFIDENT.
 SCOPES = (("startups", "entity_name", "STARTUP", "Y Combinator"), ("products", "startup_name", "PRODUCT", "SaaSHub"), ("jobs", "company", "JOB", "Job Board"))
 
@@ -53,11 +56,31 @@ def normalise(entities: DataFrame) -> DataFrame:
     return out.withColumn("seed_canonical", F.coalesce("_by_raw", "_by_clean")).drop("_rk", "_ck", "_raw_key", "_clean_key", "_by_raw", "_by_clean")
 
 
+def _blocks(entities: DataFrame) -> DataFrame:
+    return entities.select("entity_id", F.explode(names.blocking_keys(F.col("match_key"), F.col("clean_name"))).alias("block_key"))
+
+
+def large_prefixes(entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
+    """(block_key) of the prefix blocks with more members than that, which count as no blocks. Counts are summed before the shuffle."""
+    return _blocks(entities).where(F.col("block_key").startswith("pref:")).groupBy("block_key").agg(F.count("*").alias("n")).where(F.col("n") > max_prefix).select("block_key")
+
+
 def block_index(entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
-    """(block_key, entity_id) without oversized prefix blocks. Counts are summed before the shuffle."""
-    rows = entities.select("entity_id", F.explode(names.blocking_keys(F.col("match_key"), F.col("clean_name"))).alias("block_key"))
-    large = rows.where(F.col("block_key").startswith("pref:")).groupBy("block_key").agg(F.count("*").alias("n")).where(F.col("n") > max_prefix).select("block_key")
-    return rows.join(large, "block_key", "left_anti")
+    """(block_key, entity_id) without oversized prefix blocks."""
+    return _blocks(entities).join(large_prefixes(entities, max_prefix), "block_key", "left_anti").select("block_key", "entity_id")
+
+
+def sharing_block(pairs: DataFrame, entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
+    """The pairs (clean_a, key_a, clean_b, key_b and more) whose names share a block.
+
+    A shared key or word settles it for the pair alone; only pairs that share
+    nothing but a prefix are held against the oversized ones.
+    """
+    a, b = (names.blocking_keys(F.col(f"key_{x}"), F.col(f"clean_{x}")) for x in "ab")
+    rows = pairs.withColumn("_shared", F.array_intersect(a, b)).where(F.size("_shared") > 0)
+    by_prefix = ~F.exists("_shared", lambda k: ~k.startswith("pref:"))
+    alone = rows.where(by_prefix).withColumn("block_key", F.get("_shared", F.lit(0))).join(large_prefixes(entities, max_prefix), "block_key", "left_anti").drop("block_key")
+    return rows.where(~by_prefix).unionByName(alone).drop("_shared")
 
 
 def candidate_pairs(entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
@@ -91,24 +114,24 @@ def _distinct_names(entities: DataFrame) -> DataFrame:
     return entities.where("clean_name != ''").groupBy("clean_name", "match_key").agg(F.min("entity_id").alias("entity_id"))
 
 
+def _named_pairs(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b) with the clean names and keys of both, which differ."""
+    a, b = (found.select(F.col("entity_id").alias(x), F.col("clean_name").alias(f"clean_{x}"), F.col("match_key").alias(f"key_{x}")) for x in "ab")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").where("key_a != key_b")
+
+
 def fuzzy_links(entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
     """(a, b) of names that share a block and match confidently.
 
     A ratio of 98 leaves room for an edit only from 50 characters in both names
-    on, and their lengths may differ by 2 % only. So names go into the join once
-    each, only if long enough, and blocks are split by length: a word that
-    millions of names hold meets only names of nearly its own length.
+    on. So names go into the join once each, only if long enough, and are joined
+    by the segments that such edits leave whole, not by the words that they share;
+    whether a pair shares a block is asked of the few pairs that are left.
     """
-    index = block_index(entities, max_prefix)
-    long = _distinct_names(entities).where(F.length("clean_name") >= 24)
-    span = F.ceil(F.length("clean_name") * (100 - CONFIDENT) / 100 * 2)
-    rows = index.join(long.select("entity_id", "clean_name", "match_key", F.length("clean_name").alias("size"), span.alias("span")), "entity_id")
-    a = rows.select("block_key", F.col("entity_id").alias("a"), F.col("clean_name").alias("clean_a"), F.col("match_key").alias("key_a"), F.col("size").alias("bin"))
-    near = F.explode(F.sequence(F.col("size") - F.col("span"), F.col("size") + F.col("span")))
-    b = rows.select("block_key", F.col("entity_id").alias("b"), F.col("clean_name").alias("clean_b"), F.col("match_key").alias("key_b"), near.alias("bin"))
-    pairs = a.join(b, ["block_key", "bin"]).where("a != b and key_a != key_b").where(similarity.may_reach(F.col("clean_a"), F.col("clean_b"), CONFIDENT))
-    unique = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("clean_a", "clean_b").alias("clean_a"), F.greatest("clean_a", "clean_b").alias("clean_b")).distinct()
-    return score_pairs(unique).where("tier = 2").select("a", "b")
+    found = _distinct_names(entities).where(F.length("clean_name") >= 24)
+    near = simjoin.segment_join(found.select(F.col("entity_id").alias("id"), F.col("clean_name").alias("text")), int(CONFIDENT))
+    confident = score_pairs(_named_pairs(near, found)).where("tier = 2")
+    return sharing_block(confident, entities, max_prefix).select("a", "b")
 
 
 def decided_links(entities: DataFrame, decisions: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
@@ -125,13 +148,17 @@ def decided_links(entities: DataFrame, decisions: DataFrame, max_prefix: int = M
 
 
 def borderline_pairs(entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
-    """(clean_a, clean_b, token_sort, ratio): distinct names for the arbiter, from every shared block."""
-    found = _distinct_names(entities)
-    pairs = candidate_pairs(entities.join(found.select("entity_id"), "entity_id", "left_semi"), max_prefix)
-    a, b = (found.select(F.col("entity_id").alias(f"id_{x}"), F.col("clean_name").alias(f"clean_{x}"), F.col("match_key").alias(f"key_{x}")) for x in "ab")
-    # clean names have single spaces, so sorting their words keeps their lengths, which rule most pairs out before they are scored
-    named = pairs.join(a, "id_a").join(b, "id_b").where("key_a != key_b").where(similarity.may_reach(F.col("clean_a"), F.col("clean_b"), BORDERLINE))
-    return score_pairs(named).where("tier = 3").select("clean_a", "clean_b", "token_sort", "ratio")
+    """(clean_a, clean_b, token_sort, ratio): distinct names for the arbiter, clean_a that of the earlier entity.
+
+    Names that share a word or a prefix are compared in tiles of bounded size
+    (see ``simjoin.block_join``). Names of one key are linked already and left out.
+    """
+    found = Scratch(entities.sparkSession, "borderline").keep(_distinct_names(entities))
+    blocks = block_index(entities, max_prefix).where(~F.col("block_key").startswith("key:")).join(found.select("entity_id"), "entity_id", "left_semi")
+    # clean names have single spaces, so sorting their words keeps their lengths
+    texts = found.select(F.col("entity_id").alias("id"), similarity.sorted_tokens(F.col("clean_name")).alias("text"))
+    near = simjoin.block_join(texts, blocks.select(F.col("entity_id").alias("id"), F.col("block_key").alias("block")), int(BORDERLINE))
+    return score_pairs(_named_pairs(near, found)).where("tier = 3").select("clean_a", "clean_b", "token_sort", "ratio")
 
 
 def clusters(entities: DataFrame, decisions: DataFrame | None = None, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
@@ -241,19 +268,58 @@ def compression(log: DataFrame) -> DataFrame:
 
 
 def variant_clusters(log: DataFrame, most: int = 20) -> DataFrame:
-    """The canonical names with most variants, ties by name, and their names in order."""
-    return (
-        log.groupBy("canonical_name")
-        .agg(F.count("*").alias("variant_count"), F.array_join(F.array_sort(F.collect_list("raw_name")), " | ").alias("variants"))
-        .where("variant_count > 1")
-        .orderBy(F.desc("variant_count"), "canonical_name")
-        .limit(most)
-    )
+    """The canonical names with most variants, ties by name, and their names in order.
+
+    Names are counted first; only those of the winners are put in order, a listing
+    being made of runs of names, each of which is joined by a task of its own.
+    """
+    counts = log.groupBy("canonical_name").agg(F.count("*").alias("variant_count")).where("variant_count > 1")
+    scratch = Scratch(log.sparkSession, "variants")
+    winners = scratch.keep(counts.orderBy(F.desc("variant_count"), "canonical_name").limit(most))
+    rows = log.select("canonical_name", "raw_name").join(F.broadcast(winners.select("canonical_name")), "canonical_name", "left_semi")
+    ranked = group_ranks(rows, "canonical_name", ["raw_name"], scratch, rank="_rank")
+    runs = ranked.groupBy("canonical_name", F.floor(F.col("_rank") / RUN).alias("_run")).agg(F.expr("listagg(raw_name, ' | ') WITHIN GROUP (ORDER BY raw_name)").alias("_part"))
+    listed = runs.groupBy("canonical_name").agg(F.expr("listagg(_part, ' | ') WITHIN GROUP (ORDER BY _run)").alias("variants"))
+    return winners.join(listed, "canonical_name").select("canonical_name", "variant_count", "variants").orderBy(F.desc("variant_count"), "canonical_name")
+
+
+def pair_count(index: DataFrame, most_keys: int = 10) -> DataFrame:
+    """One row, ``pairs``: how many pairs of entities share a block of the index (block_key, entity_id), without making them.
+
+    By inclusion and exclusion: a set S of blocks that n entities have in common
+    holds n(n-1)/2 pairs, which count for an odd S and against an even one. Blocks
+    of one entity are left out and entities with the same blocks are taken
+    together, so work grows with the different sets of blocks times two to the
+    number of blocks in each. Entities with more than ``most_keys`` such blocks
+    are joined instead, each pair being counted at the first block that it shares.
+    """
+    scratch = Scratch(index.sparkSession, "pair_count")
+    shared = index.groupBy("block_key").agg(F.count("*").alias("n")).where("n > 1").select("block_key")
+    sets = index.join(shared, "block_key").groupBy("entity_id").agg(F.array_sort(F.collect_set("block_key")).alias("keys"))
+    sets = scratch.keep(sets.groupBy("keys").agg(F.count("*").cast("decimal(20,0)").alias("n")).withColumn("size", F.size("keys")))
+    few, many = sets.where(F.col("size") <= most_keys), sets.where(F.col("size") > most_keys)
+    chosen = few.withColumn("mask", F.explode(F.expr("sequence(1, shiftleft(1, size) - 1)")))
+    subset = chosen.select("n", F.expr("filter(keys, (k, i) -> getbit(mask, i) = 1)").alias("s"))
+    # 96 bits stand for a set of blocks
+    counts = subset.groupBy(F.xxhash64("s").alias("h"), F.hash("s").alias("g")).agg(F.sum("n").alias("n"), F.max(F.size("s")).alias("size"))
+
+    def inside(n: Column) -> Column:
+        return (n * (n - 1) / 2).cast("decimal(38,0)")
+
+    parts = counts.select(F.when(F.col("size") % 2 == 1, inside(F.col("n"))).otherwise(-inside(F.col("n"))).alias("pairs"))
+    if not many.isEmpty():
+        long = many.select("keys", "n", F.explode("keys").alias("key")).alias("x")
+        others = sets.select("keys", "n", "size", F.explode("keys").alias("key")).alias("y")
+        first = F.get(F.array_intersect("x.keys", "y.keys"), F.lit(0)) == F.col("x.key")
+        # of two long ones each pair once
+        met = long.join(others, (F.col("x.key") == F.col("y.key")) & first & ((F.col("y.size") <= most_keys) | (F.col("x.keys") < F.col("y.keys"))))
+        parts = parts.unionByName(met.select((F.col("x.n") * F.col("y.n")).cast("decimal(38,0)").alias("pairs"))).unionByName(many.select(inside(F.col("n")).alias("pairs")))
+    return parts.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("pairs"))
 
 
 def pair_reduction(entities: DataFrame, max_prefix: int = MAX_PREFIX_BLOCK) -> DataFrame:
-    """One row: entities, candidate pairs, and the share of all pairs that blocking leaves out."""
+    """One row: entities, candidate pairs, and the share of all pairs that blocking leaves out. The pairs are counted, not made."""
     n = entities.agg(F.count("*").alias("entities"))
-    pairs = candidate_pairs(entities, max_prefix).agg(F.count("*").alias("pairs"))
+    pairs = pair_count(block_index(entities, max_prefix))
     total = F.greatest(F.col("entities") * (F.col("entities") - 1) / 2, F.lit(1.0))
     return n.join(F.broadcast(pairs)).select("entities", "pairs", (1 - F.col("pairs") / total).alias("reduction"))
