@@ -16,10 +16,12 @@ LEGAL_WORDS = [
 DOMAIN_ENDINGS = ["com", "io", "ai", "co", "org", "net", "so", "app", "sh", "art", "dev", "tech", "me", r"co\.uk", "de", "eu"]
 # Whole words removed from seed keys.
 SEED_WORDS = ["inc", "incorporated", "llc", "pbc", "ltd", "limited", "corp", "corporation", "gmbh", "sas", "se", "co", "company"]
-# Named references that count without their semicolon too.
-BARE_REFERENCES = ["amp", "AMP", "lt", "LT", "gt", "GT", "quot", "QUOT", "nbsp", "copy", "reg"]
-#: All named references of letters, marks and punctuation, as "\x01name\x02character" one after the other: a lookup is one search in a text.
-NAMED_REFERENCES = "".join(f"\x01{name[:-1]}\x02{text}" for name, text in sorted(html5.items()) if name.endswith(";") and len(text) == 1 and ord(text) < 0x2200) + "\x01"
+#: All named character references, as "\x01name\x02text" one after the other: a lookup is one search in a text.
+NAMED_REFERENCES = "".join(f"\x01{name[:-1]}\x02{text}" for name, text in sorted(html5.items()) if name.endswith(";")) + "\x01"
+#: The names that count without their semicolon too, the longest first.
+BARE_REFERENCES = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+#: What the numbers 128 to 159 stand for: characters of Windows-1252 where it has them.
+WINDOWS = [bytes([n]).decode("cp1252") if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(n) for n in range(128, 160)]
 
 LEGAL_PATTERN = rf"(?i)(?:,\s*|\s+)\b({'|'.join(LEGAL_WORDS)})\b\.?"
 DOMAIN_PATTERN = rf"(?i)\.({'|'.join(DOMAIN_ENDINGS)})$"
@@ -37,23 +39,42 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
 
 
-def _reference(body: Column) -> Column:
-    """The character that a reference's name or number stands for; null if none."""
-    at = F.concat(F.lit("\x01"), body, F.lit("\x02"))
-    named = F.when(body != "", F.nullif(F.split_part(F.split_part(F.lit(NAMED_REFERENCES), at, F.lit(2)), F.lit("\x01"), F.lit(1)), F.lit("")))
-    number = F.when(body.rlike("^#[0-9]+$"), F.substring(body, 2, 9).try_cast("long")).when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 9), 16, 10).try_cast("long"))
-    valid = number.between(32, 126) | number.between(160, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    return F.coalesce(F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")), named)
+def _numbered(part: Column) -> Column:
+    """The character of a reference by number at the start of part; null if there is none. Numbers that are no character give U+FFFD, those of controls nothing."""
+    beyond = F.lit(0x110000).cast("long")
+
+    def value(digits: Column, most: int, parsed: Column) -> Column:
+        return F.when(F.length(digits) > most, beyond).when(digits == "", F.lit(0).cast("long")).otherwise(parsed)
+
+    decimal, sixteen = F.regexp_extract(part, "^#0*([0-9]*)", 1), F.regexp_extract(part, "^#[xX]0*([0-9a-fA-F]*)", 1)
+    number = F.when(part.rlike("^#[0-9]"), value(decimal, 9, decimal.try_cast("long"))).when(part.rlike("^#[xX][0-9a-fA-F]"), value(sixteen, 8, F.conv(sixteen, 16, 10).try_cast("long")))
+
+    def character(n: Column) -> Column:
+        unknown = (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+        unseen = n.between(1, 8) | n.between(14, 31) | (n == 11) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n % 0x10000 >= 0xFFFE)
+        old = F.get(F.array(*[F.lit(c) for c in WINDOWS]), (n - 128).cast("int"))
+        return F.when(n.isNull(), F.lit(None)).when(unknown, F.lit("\ufffd")).when(n.between(128, 159), old).when(unseen, F.lit("")).otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+    return let(number, character)
 
 
 def unescape(col: Column) -> Column:
-    """Character references decoded, each once: numbers, and the names of letters, marks and punctuation. Unknown ones stay."""
+    """Character references decoded, each once, as HTML does: by number, by name, and by the old names without a semicolon. Unknown ones stay."""
 
     def decoded(part: Column) -> Column:
-        body = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        number = F.regexp_extract(part, "^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?)", 1)
+        body = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
         bare = F.regexp_extract(part, rf"^({'|'.join(BARE_REFERENCES)})", 1)
+
+        def named(name: Column) -> Column:
+            at = F.concat(F.lit("\x01"), name, F.lit("\x02"))
+            return F.when(name != "", F.nullif(F.split_part(F.split_part(F.lit(NAMED_REFERENCES), at, F.lit(2)), F.lit("\x01"), F.lit(1)), F.lit("")))
+
         return F.coalesce(
-            F.concat(_reference(body), F.substr(part, F.length(body) + 2)), F.concat(_reference(bare), F.substr(part, F.length(bare) + 1)), F.concat(F.lit("&"), part)
+            F.concat(_numbered(part), F.substr(part, F.length(number) + 1)),
+            F.concat(named(body), F.substr(part, F.length(body) + 2)),
+            F.concat(named(bare), F.substr(part, F.length(bare) + 1)),
+            F.concat(F.lit("&"), part),
         )
 
     def whole(parts: Column) -> Column:

@@ -30,6 +30,7 @@ def _authors(df: DataFrame) -> Column:
 
 def tab(df: DataFrame, table: str) -> DataFrame:
     """The table's rows under its tab's headings, in order of id. Null texts are ''; long texts are cut."""
+    # The headings and lengths.
     kind = TABLES[table].record_type if table in TABLES else ""
     head = {"schemaVersion": _text("schema_version", SCHEMA_VERSION), "recordType": _text("record_type", kind), "source.name": _text("source_name")}
     if table == "startups":

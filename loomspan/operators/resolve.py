@@ -193,6 +193,7 @@ def canonical_names(clustered: DataFrame) -> DataFrame:
 
 def mapping_log(clustered: DataFrame, canonical: DataFrame) -> DataFrame:
     """One row for each entity: canonical name, match method, confidence and explanation."""
+    # The methods' names and the explanations.
     joined = clustered.join(canonical, "root")
     single, seeded = F.col("members") == 1, F.col("seed_canonical").isNotNull()
     same = F.lower("clean_name") == F.lower("canonical_name")
