@@ -17,6 +17,7 @@ from loomspan.plans.components import components
 from loomspan.plans.scratch import Scratch
 from loomspan.sources import captures
 from loomspan.sources.seed import SEED
+from loomspan.streaming import bucketed
 from loomspan.streaming import ingest as streams
 
 NOW = "2024-01-30 00:00:00"
@@ -498,27 +499,36 @@ def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def stream_first_seen(spark: SparkSession, sf: str) -> DataFrame:
-    scratch = Scratch(spark, "stream")
     rows = _stream(spark, sf, "events").select(F.col("user_id").cast("string").alias("url"), F.col("ts").cast("timestamp").alias("ts"))
-    found = streams.stream_first_seen(rows, "url", "ts")
+    out = streamed(spark, streams.stream_first_seen(rows, "url", "ts"))
+    return out.select("url", dates.iso_utc(F.col("first_seen_at")).alias("first_seen_at"))
+
+
+def streamed(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """All that a stream gives until its input ends, as its files hold it."""
+    scratch = Scratch(spark, "stream")
     started = found.writeStream.format("parquet").option("path", f"{scratch.root}/out").option("checkpointLocation", f"{scratch.root}/state").trigger(availableNow=True).start()
     started.awaitTermination()
-    out = spark.read.schema("url string, first_seen_at timestamp").parquet(f"{scratch.root}/out")
-    return out.select("url", dates.iso_utc(F.col("first_seen_at")).alias("first_seen_at"))
+    return spark.read.schema(found.schema).parquet(f"{scratch.root}/out")
 
 
 def stream_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
-    scratch = Scratch(spark, "stream")
     rows = _stream(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.col("ts").cast("timestamp").alias("first_seen_at"))
+    out = inserted(spark, rows, "seen_urls", "first_seen_at")
+    return out.select("url", dates.iso_utc(F.col("first_seen_at")).alias("first_seen_at"))
+
+
+def inserted(spark: SparkSession, rows: DataFrame, table: str, arrival: str) -> DataFrame:
+    """What a stream of rows leaves in an empty bucketed table."""
+    scratch = Scratch(spark, "stream")
     started = (
-        rows.writeStream.foreachBatch(streams.insert_ignore_batches(f"{scratch.root}/out", "seen_urls", "first_seen_at"))
+        rows.writeStream.foreachBatch(bucketed.insert_ignore_batches(f"{scratch.root}/out", table, arrival))
         .option("checkpointLocation", f"{scratch.root}/state")
         .trigger(availableNow=True)
         .start()
     )
     started.awaitTermination()
-    out = spark.read.schema("url string, first_seen_at timestamp").parquet(f"{scratch.root}/out")
-    return out.select("url", dates.iso_utc(F.col("first_seen_at")).alias("first_seen_at"))
+    return bucketed.BucketedTable(spark, f"{scratch.root}/out", table).read(rows.schema)
 
 
 TABS = ("startups", "products", "research_papers", "jobs", "news", "entity_mapping_log")

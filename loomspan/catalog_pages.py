@@ -12,6 +12,7 @@ from loomspan.functions import names
 from loomspan.operators import resolve
 from loomspan.plans.components import components
 from loomspan.plans.scratch import Scratch
+from loomspan.streaming import ingest as streams
 
 TITLE = r"(?s)<title>(.*?)</title>"
 
@@ -50,8 +51,23 @@ def title_pair_reduction(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("entities", "pairs", F.round("reduction", 6).alias("reduction"))
 
 
+def stream_page_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page's URL once, as a stream inserts them into a bucketed table, with its first page's time."""
+    rows = catalog._stream(spark, sf, "pages").select("url", F.timestamp_seconds(F.col("page_id")).alias("first_seen_at"))
+    out = catalog.inserted(spark, rows, "seen_urls", "first_seen_at")
+    return out.select("url", F.unix_timestamp("first_seen_at").alias("first_page"))
+
+
+def stream_first_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every host once, with the time of its first page, from state that is kept for ever."""
+    host = F.regexp_extract("url", "^https?://([^/:?#]+)", 1)
+    rows = catalog._stream(spark, sf, "pages").select(host.alias("host"), F.timestamp_seconds(F.col("page_id")).alias("at"))
+    out = catalog.streamed(spark, streams.stream_first_seen(rows, "host", "at"))
+    return out.select(F.col("url").alias("host"), F.unix_timestamp("first_seen_at").alias("first_page"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (near_titles, borderline_titles, title_pair_reduction)}
+    return {f.__name__: f for f in (near_titles, borderline_titles, title_pair_reduction, stream_page_urls, stream_first_pages)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -69,6 +85,8 @@ def oracle_sql() -> dict[str, str]:
             r AS MATERIALIZED (SELECT a, b, ca, cb, 200.0 * {catalog._sql_lcs('sa', 'sb')} / (length(sa) + length(sb)) AS token_sort, 200.0 * {catalog._sql_lcs('ca', 'cb')} / (length(ca) + length(cb)) AS ratio FROM n)"""
 
     return {
+        "stream_page_urls": "SELECT url, min(page_id) AS first_page FROM pages WHERE url IS NOT NULL GROUP BY 1",
+        "stream_first_pages": "SELECT regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, min(page_id) AS first_page FROM pages WHERE url IS NOT NULL GROUP BY 1",
         "near_titles": f"""WITH RECURSIVE {titles}, {blocks}, {scored(98)},
             l AS (SELECT a, b FROM r WHERE token_sort >= 98 AND ratio >= 98), d AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
             w(id, o) AS (SELECT id, id FROM u UNION SELECT w.id, d.b FROM w JOIN d ON d.a = w.o),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomspan.functions import dates, text
+from loomspan.plans import files
 from loomspan.plans.ranks import group_ranks
 from loomspan.plans.scratch import Scratch
 from loomspan.schemas import SCHEMA_VERSION, TABLES
@@ -55,12 +56,7 @@ def complete_record(df: DataFrame, table: str, collected_at: Column) -> DataFram
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at path, None where there is none yet."""
-    try:
-        return spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
+    return spark.read.parquet(path) if files.exists(spark, path) else None
 
 
 def init_tables(spark: SparkSession, root: str) -> list[str]:

@@ -1,55 +1,70 @@
-"""Structured Streaming forms of the stateful steps: first-seen state and insert-or-ignore."""
+"""Structured Streaming forms of the first-seen state and the freshness window."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from loomspan.operators.ingest import insert_ignore
-from loomspan.schemas import TABLES
 
 
-def stream_first_seen(events: DataFrame, url: str, seen_at: str) -> DataFrame:
-    """A stream of (url, first_seen_at): each URL once, with the earliest time of the batch that first holds it.
+#: Rows of partly folded times that a task holds before it hands them on.
+HELD_ROWS = 500_000
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    State is kept for ever, as the first-seen table is; it lives in the state
-    store, keyed by URL. All rows of a URL in a batch meet in one task, which
-    keeps their least time only, so a hot URL costs time there but no memory.
-    """
 
-    def first(key: tuple, frames, state: GroupState):
-        if state.exists:
-            return
-        earliest = min(frame["seen_at"].min() for frame in frames)
-        state.update((earliest.to_pydatetime(),))
-        yield pd.DataFrame({"url": [key[0]], "first_seen_at": [earliest]})
+def _least_times(batches):
+    """For mapInArrow over (url, seen_at): each URL's least time in the task, before anything is shuffled. A task that holds too many hands them on and begins anew."""
+    held, rows = [], 0
+
+    def folded() -> pa.Table:
+        out = pa.Table.from_batches(held).group_by("url").aggregate([("seen_at", "min")])
+        return out.rename_columns(["seen_at" if n == "seen_at_min" else n for n in out.column_names]).select(["url", "seen_at"])
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HELD_ROWS:
+            held = folded().to_batches()
+            rows = sum(x.num_rows for x in held)
+            if rows >= HELD_ROWS // 2:
+                yield from held
+                held, rows = [], 0
+    if rows:
+        yield from folded().to_batches()
 
-    rows = events.where(F.col(url).isNotNull()).select(F.col(url).alias("url"), F.col(seen_at).cast("timestamp").alias("seen_at"))
-    return rows.groupBy("url").applyInPandasWithState(first, "url string, first_seen_at timestamp", "first_seen_at timestamp", "append", GroupStateTimeout.NoTimeout)
 
+class FirstSeen(StatefulProcessor):
+    """One value for each URL, kept for ever: when it was first seen. A URL is passed on once, with the batch that holds it first."""
 
-def insert_ignore_batches(path: str, table: str, arrival: str) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: append to the Parquet table at path the rows whose keys it lacks.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first_seen", "at timestamp")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 - the interface's names
+        earliest = min((t for t in (frame["seen_at"].min() for frame in rows) if not pd.isna(t)), default=None)
+        if earliest is not None and not self.first.exists():
+            self.first.update((earliest.to_pydatetime(),))
+            yield pd.DataFrame({"url": [key[0]], "first_seen_at": [earliest]})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_first_seen(events: DataFrame, url: str, seen_at: str) -> DataFrame:
+    """A stream of (url, first_seen_at): each URL once, with the earliest time of the batch that first holds it.
 
-    A batch that is replayed after a failure finds its keys present and adds nothing.
+    State is kept for ever, as the first-seen table is; it lives in the RocksDB
+    state store, keyed by URL, and survives a restart from the checkpoint. Each
+    task folds its rows to one a URL before the shuffle, so the state sees a URL
+    once a task however often a batch holds it. Rows without a URL or a time are
+    left out. Sets the session's state store to RocksDB, which this state needs.
     """
-    spec = TABLES[table]
-
-    def run(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            target = spark.read.parquet(path)
-        except Exception as error:  # the table does not exist yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            target = None
-        insert_ignore(batch, list(spec.keys), list(spec.required), arrival, target).write.mode("append").parquet(path)
-
-    return run
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    rows = events.select(F.col(url).cast("string").alias("url"), F.col(seen_at).cast("timestamp").alias("seen_at")).where("url is not null and seen_at is not null")
+    folded = rows.mapInArrow(_least_times, "url string, seen_at timestamp")
+    return folded.groupBy("url").transformWithStateInPandas(FirstSeen(), "url string, first_seen_at timestamp", "Append", "None")
 
 
 def fresh_stream(events: DataFrame, date: Column, now: Column, max_future_seconds: int = 3600) -> DataFrame:
