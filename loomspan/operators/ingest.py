@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from loomspan.functions import dates, text
 from loomspan.plans import files
@@ -121,6 +122,37 @@ def stage_counts(df: DataFrame, source: str, stages: dict[str, Column]) -> DataF
     return df.groupBy(source).agg(*[F.count_if(test).alias(name) for name, test in stages.items()])
 
 
+def observed(df: DataFrame, stages: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """df, and how many of its rows pass each stage's condition: counted while df is computed, by whatever computes it, with no scan of their own.
+
+    ``Observation.get`` waits for that run; on a stream the counts of each batch
+    come with its progress (see ``StageListener``).
+    """
+    seen = Observation("stages")
+    return df.observe(seen, *[F.count_if(test).alias(name) for name, test in stages.items()]), seen
+
+
+class StageListener(StreamingQueryListener):
+    """Adds up the counts that ``observe`` gives for the batches of the session's streams, under the observation's name."""
+
+    def __init__(self, name: str = "stages"):
+        self.name, self.totals = name, {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - the interface's names
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        row = event.progress.observedMetrics.get(self.name)
+        for stage, n in (row.asDict() if row is not None else {}).items():
+            self.totals[stage] = self.totals.get(stage, 0) + n
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
 def saved_total(counts: DataFrame, saved: str = "saved") -> DataFrame:
     """One row: the sum of all sources' saved rows, 0 without sources."""
     return counts.agg(F.coalesce(F.sum(saved), F.lit(0)).alias("saved"))

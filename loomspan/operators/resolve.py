@@ -227,9 +227,12 @@ def logged(log: DataFrame, resolved_at: Column) -> DataFrame:
     return numbered.select((F.col("_rank") + 1).alias("id"), *[c for c in log.columns if c != "entity_id"], resolved_at.cast("timestamp").alias("resolved_at"))
 
 
-def save_mappings(log: DataFrame, path: str, resolved_at: Column | None = None) -> int:
+def save_mappings(log: DataFrame, path: str, resolved_at: Column | None = None, group_bytes: int = 8 << 20) -> int:
     """Replace the mapping log at path; an empty log leaves the old one. Returns the rows written.
 
+    Rows are laid out by raw name, in ranges and in order, with a Bloom filter of the
+    names in each row group, so that a lookup (``mapping_of``) reads the one group that holds its name.
+
     The new log is written beside the old one, which goes only when the new one
     is whole, so a failed run loses nothing. With resolved_at the log gets ids and that time.
     """
@@ -240,7 +243,9 @@ def save_mappings(log: DataFrame, path: str, resolved_at: Column | None = None)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
     files = where.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
     new, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{x}-{uuid.uuid4().hex}") for x in ("new", "old"))  # noqa: SLF001
-    ready.write.parquet(new.toString())
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = ready.repartitionByRange(count, "raw_name").sortWithinPartitions("raw_name")
+    laid.write.option("parquet.bloom.filter.enabled#raw_name", "true").option("parquet.block.size", group_bytes).parquet(new.toString())
     if files.exists(where):
         files.rename(where, old)
     files.rename(new, where)
@@ -249,6 +254,11 @@ def save_mappings(log: DataFrame, path: str, resolved_at: Column | None = None)
     return spark.read.parquet(path).count()
 
 
+def mapping_of(log: DataFrame, raw_name: str) -> DataFrame:
+    """The rows of one raw name in a saved log. Files and row groups whose least and greatest name or Bloom filter rule it out are not read."""
+    return log.where(F.col("raw_name") == raw_name)
+
+
 def mappings_like(log: DataFrame, part: str) -> DataFrame:
     """(raw_name, canonical_name, match_method) of the names that hold a piece of text, whatever its case."""
     escaped = part.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
