@@ -492,6 +492,18 @@ def nested_records(spark: SparkSession, sf: str) -> DataFrame:
     return export.record_lines(rows, "STARTUP")
 
 
+def nested_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of all five types as JSON lines."""
+    out = None
+    for table, kind in (("startups", "STARTUP"), ("products", "PRODUCT"), ("research_papers", "RESEARCH_PAPER"), ("jobs", "JOB"), ("news", "NEWS")):
+        rows = _export_input(spark, sf, table).withColumn("collected_at", F.lit("2024-01-30T00:00:00Z"))
+        if table in ("jobs", "news"):
+            rows = rows.withColumn("published_date", dates.iso_utc(F.col("published_date")))
+        lines = export.record_lines(rows, kind)
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     schema = _t(spark, sf, name).schema
     # the last letter in brackets makes the path a pattern, which the stream source takes for a file as well as for a folder
@@ -538,7 +550,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = [
         freshness_filter, first_seen_state, insert_ignore, union_scoped, table_counts, recent_rows, stage_metrics, parse_dates, normalize_entity, seed_matches, blocking_pairs, blocking_prefix_cap, similarity_scores,
         connected_components, entity_resolution, resolution_tiers, mappings_like, saved_total, insert_limited, authors_json, save_resolve_export, canonical_election, mapping_summary, compression, variant_clusters, pair_reduction, role_family_hiring, relevance_filter, pricing_models, team_sizes, header_fields,
-        chunk_html, chunk_comment, chunk_article, page_titles, article_paragraphs, page_texts, hiring_posts, url_rules, category_slugs, json_replies, author_lists, enrich_join, nested_records, stream_first_seen, stream_insert_ignore,
+        chunk_html, chunk_comment, chunk_article, page_titles, article_paragraphs, page_texts, hiring_posts, url_rules, category_slugs, json_replies, author_lists, enrich_join, nested_records, nested_lines, stream_first_seen, stream_insert_ignore,
     ]
     out = {f.__name__: f for f in plain}
     out |= {f"role_family_{board}": _role_family(board) for board in text.ROLE_KEYWORDS}
@@ -630,6 +642,16 @@ def oracle_sql() -> dict[str, str]:
         "enrich_join": "SELECT o_orderkey, o_custkey, c_name, c_nationkey FROM orders LEFT JOIN (SELECT *, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k FROM customer) ON k = o_custkey",
         "nested_records": f"""WITH {_sql_tables()} SELECT to_json({{'schemaVersion': '1.0', 'recordType': 'STARTUP', 'source': {{'name': source_name, 'url': source_url}},
             'content': {{'entityName': entity_name, 'data': {{'employeeCount': CASE WHEN id % 4 <> 0 THEN employee_count END}}}}, 'collectedAt': '2024-01-30T00:00:00Z'}})::VARCHAR AS value FROM startups""",
+        "nested_lines": f"""WITH {_sql_tables()}
+            SELECT to_json({{'schemaVersion': '1.0', 'recordType': 'STARTUP', 'source': {{'name': source_name, 'url': source_url}},
+                'content': {{'entityName': entity_name, 'data': {{'employeeCount': CASE WHEN id % 4 <> 0 THEN employee_count END}}}}, 'collectedAt': {at}}})::VARCHAR AS value FROM startups
+            UNION ALL SELECT to_json({{'schemaVersion': '1.0', 'recordType': 'PRODUCT', 'source': {{'name': source_name, 'url': source_url}}, 'content': {{'startupName': startup_name, 'pricingModel': pricing_model}}, 'collectedAt': {at}}})::VARCHAR FROM products
+            UNION ALL SELECT to_json({{'schemaVersion': '1.0', 'recordType': 'RESEARCH_PAPER', 'content': {{'title': 'Region ' || n_regionkey, 'authors': list(n_name ORDER BY n_name), 'paper_url': 'https://arxiv.org/abs/' || n_regionkey,
+                'github_url': NULL, 'github_stars': CASE WHEN n_regionkey > 2 THEN n_regionkey END, 'published_date': '2024-01-01'}}}})::VARCHAR FROM nation GROUP BY n_regionkey
+            UNION ALL SELECT to_json({{'schemaVersion': '1.0', 'recordType': 'JOB', 'source': {{'name': source, 'url': 'https://board.example'}}, 'content': {{'title': NULL, 'company': lang, 'date': {at}, 'is_remote': doc_id % 2 = 0,
+                'role_family': {_sql_family('text', 'remotive')}, 'job_url': 'https://board.example/' || doc_id, 'description': text}}, 'collectedAt': {at}}})::VARCHAR FROM documents
+            UNION ALL SELECT to_json({{'schemaVersion': '1.0', 'recordType': 'NEWS', 'source': {{'name': source, 'url': NULL}}, 'content': {{'title': lang, 'url': 'https://news.example/' || doc_id, 'published_date': {at}, 'author': NULL, 'summary': '',
+                'full_text': text, 'content_type': CASE WHEN doc_id % 3 = 0 THEN 'SUMMARY' ELSE 'FULL_TEXT' END}}, 'collectedAt': {at}}})::VARCHAR FROM documents""",
         "stream_first_seen": f"SELECT user_id::VARCHAR AS url, {iso('min(ts)')} AS first_seen_at FROM events WHERE user_id IS NOT NULL GROUP BY 1",
         "stream_insert_ignore": f"SELECT 'u' || user_id AS url, {iso('min(ts)')} AS first_seen_at FROM events WHERE user_id IS NOT NULL GROUP BY 1",
         "export_startups": f"WITH {_sql_tables()} " + tab(head("STARTUP", "source_name") | {"source.url": "source_url", "content.entityName": "entity_name", "content.data.employeeCount": "CASE WHEN id % 4 <> 0 THEN employee_count::VARCHAR ELSE '' END", "collectedAt": at}, "startups"),

@@ -106,15 +106,59 @@ def _between(col: Column, low: int, high: int) -> Column:
     return F.when(F.length(col).between(low, high), col)
 
 
+# Texts that count as true and as false.
+TRUE_TEXTS, FALSE_TEXTS = ["true", "t", "yes", "y", "on", "1"], ["false", "f", "no", "n", "off", "0"]
+
+
+class Reply:
+    """The fields of a model's JSON reply, each as the type that is asked of it.
+
+    Loosely typed values are taken where they can mean one thing only: "true",
+    "yes" or 1 for a truth value, "0.9" for a number, "12" or 12.0 for a whole one.
+    A text must be a text. ``wrong`` tells a value that is there and cannot be
+    taken from one that is missing or null.
+    """
+
+    def __init__(self, reply: Column):
+        self.json = F.try_parse_json(text.reply_json(reply))
+
+    def _kind(self, field: str) -> Column:
+        """STRING, BOOLEAN, BIGINT, DECIMAL(p,s)...; VOID for null, null where there is no such field."""
+        return F.schema_of_variant(F.try_variant_get(self.json, f"$.{field}", "variant"))
+
+    def _raw(self, field: str) -> Column:
+        return F.when(self._kind(field).rlike("^(STRING|BOOLEAN|BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(self.json, f"$.{field}", "string"))
+
+    def string(self, field: str) -> Column:
+        return F.when(self._kind(field) == "STRING", self._raw(field))
+
+    def boolean(self, field: str) -> Column:
+        raw = self._raw(field)
+        word, number = F.lower(raw), F.when(self._kind(field) != "STRING", raw.try_cast("double"))
+        return F.when(word.isin(TRUE_TEXTS) | (number == 1), F.lit(True)).when(word.isin(FALSE_TEXTS) | (number == 0), F.lit(False))
+
+    def number(self, field: str) -> Column:
+        raw = self._raw(field)
+        return F.when(self._kind(field) == "BOOLEAN", (raw == "true").cast("double")).otherwise(F.trim(raw).try_cast("double"))
+
+    def whole(self, field: str) -> Column:
+        value = self.number(field)
+        return F.when(value == F.floor(value), value.try_cast("bigint"))
+
+    def wrong(self, field: str, value: Column) -> Column:
+        """Whether the field holds something, and not a value of its type."""
+        return F.coalesce(self._kind(field) != "VOID", F.lit(False)) & value.isNull()
+
+
 def same_entity(reply: Column) -> Column:
     """The checked decision as a struct; a reply that fails a check means not the same, with confidence 0.5."""
-    shape = "is_same_entity boolean, canonical_name string, confidence double, explanation string"
-    d = F.from_json(text.reply_json(reply), shape)
-    good = d["is_same_entity"].isNotNull() & d["canonical_name"].isNotNull() & d["confidence"].between(0, 1)
+    r = Reply(reply)
+    same, name, sure, why = r.boolean("is_same_entity"), r.string("canonical_name"), r.number("confidence"), r.string("explanation")
+    good = same.isNotNull() & name.isNotNull() & F.coalesce(sure.between(0, 1), F.lit(False)) & why.isNotNull()
     return F.struct(
-        F.coalesce(F.when(good, d["is_same_entity"]), F.lit(False)).alias("is_same"),
-        F.coalesce(F.when(good, d["confidence"]), F.lit(0.5)).alias("confidence"),
-        F.substring(d["explanation"], 1, 990).alias("explanation"),
+        F.coalesce(F.when(good, same), F.lit(False)).alias("is_same"),
+        F.coalesce(F.when(good, sure), F.lit(0.5)).alias("confidence"),
+        F.substring(why, 1, 990).alias("explanation"),
     )
 
 
@@ -124,15 +168,17 @@ def decisions(pairs: DataFrame, model: Model) -> DataFrame:
 
 
 def hiring_extraction(reply: Column) -> Column:
-    """A checked job extraction; null unless a company of 1 to 100 characters is there and every field is in range."""
-    d = F.from_json(text.reply_json(reply), "company string, title string, location string, is_remote boolean, role_family string")
-    good = F.length(d["company"]).between(1, 100) & (F.coalesce(F.length(d["title"]), F.lit(0)) <= 200) & (F.coalesce(F.length(d["location"]), F.lit(0)) <= 200)
-    good = good & (d["role_family"].isNull() | d["role_family"].isin(FAMILIES))
-    return F.when(good, F.struct(d["company"], d["title"], d["location"], F.coalesce(d["is_remote"], F.lit(False)).alias("is_remote"), d["role_family"]))
+    """A checked job extraction; null unless a company of 1 to 100 characters is there and every field is of its type and in range."""
+    r = Reply(reply)
+    company, title, place, remote, family = r.string("company"), r.string("title"), r.string("location"), r.boolean("is_remote"), r.string("role_family")
+    wrong = r.wrong("title", title) | r.wrong("location", place) | r.wrong("role_family", family) | F.coalesce((r._kind("is_remote") == "VOID") | r.wrong("is_remote", remote), F.lit(False))  # noqa: SLF001
+    good = F.length(company).between(1, 100) & ~wrong & (F.coalesce(F.length(title), F.lit(0)) <= 200) & (F.coalesce(F.length(place), F.lit(0)) <= 200)
+    good = good & (family.isNull() | family.isin(FAMILIES))
+    return F.when(good, F.struct(company.alias("company"), title.alias("title"), place.alias("location"), F.coalesce(remote, F.lit(False)).alias("is_remote"), family.alias("role_family")))
 
 
 def news_summary(reply: Column) -> Column:
-    return _between(F.from_json(text.reply_json(reply), "summary string")["summary"], 20, 500)
+    return _between(Reply(reply).string("summary"), 20, 500)
 
 
 def extract_hiring(posts: DataFrame, html: str, model: Model) -> DataFrame:
@@ -157,9 +203,11 @@ def fill_field(rows: DataFrame, field: str, html: str, model: Model) -> DataFram
 
 def field_value(reply: Column, field: str) -> Column:
     """One checked field of a reply, as text: employee_count, pricing_model, role_family, title or author."""
-    value = F.from_json(text.reply_json(reply), f"{field} string")[field]
+    r = Reply(reply)
     if field == "employee_count":
-        return F.when(value.try_cast("int") >= 1, value)
+        count = r.whole(field)
+        return F.when(count >= 1, count.cast("string"))
+    value = r.string(field)
     if field == "pricing_model":
         return F.when(value.isin(PRICING_MODELS), value)
     if field == "role_family":

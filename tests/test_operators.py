@@ -145,7 +145,7 @@ def test_arbiter(spark):
     def model(system, user):
         if "x" in user:
             raise RuntimeError
-        return '```json\n{"is_same_entity": true, "canonical_name": "A", "confidence": 0.9}\n```'
+        return '```json\n{"is_same_entity": true, "canonical_name": "A", "confidence": 0.9, "explanation": "one"}\n```'
 
     pairs = spark.createDataFrame([("a", "b"), ("x", "y")], "clean_a string, clean_b string")
     got = {r.clean_a: (r.is_same, r.confidence) for r in arbiter.decisions(pairs, model).collect()}
@@ -160,6 +160,25 @@ def test_checked_replies(spark):
     assert [r[0] and r[0]["company"] for r in rows.select(arbiter.hiring_extraction(F.col("r"))).collect()] == ["Acme", None, None]
 
 
+def test_loosely_typed_replies(spark):
+    """What counts as a truth value, a number and a text, as the upstream models coerce them."""
+    reply = '{{"is_same_entity": {}, "canonical_name": {}, "confidence": {}, "explanation": {}}}'.format
+    cases = [
+        (reply("true", '"A"', "0.9", '"w"'), (True, 0.9)), (reply('"Yes"', '"A"', '"0.9"', '"w"'), (True, 0.9)), (reply("1", '"A"', "1", '"w"'), (True, 1.0)), (reply("1.0", '""', "true", '""'), (True, 1.0)),
+        (reply('"off"', '"A"', '" 0.25 "', '"w"'), (False, 0.25)), (reply("2", '"A"', "0.9", '"w"'), (False, 0.5)), (reply('"maybe"', '"A"', "0.9", '"w"'), (False, 0.5)), (reply("true", "5", "0.9", '"w"'), (False, 0.5)),
+        (reply("true", '"A"', "1.5", '"w"'), (False, 0.5)), (reply("true", '"A"', '"high"', '"w"'), (False, 0.5)), (reply("true", '"A"', "0.9", "null"), (False, 0.5)), (reply("true", '"A"', "[0.9]", '"w"'), (False, 0.5)),
+        ('{"is_same_entity": true}', (False, 0.5)), ("no JSON", (False, 0.5)), (None, (False, 0.5)),
+    ]
+    rows = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, r string")
+    got = {r.i: (r.d.is_same, r.d.confidence) for r in rows.select("i", arbiter.same_entity(F.col("r")).alias("d")).collect()}
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
+    counts = ['{"employee_count": 12}', '{"employee_count": "12"}', '{"employee_count": 12.0}', '{"employee_count": 12.5}', '{"employee_count": 0}', '{"employee_count": "many"}', '{"employee_count": null}', "{}"]
+    assert [r[0] for r in spark.createDataFrame([(c,) for c in counts], "r string").select(arbiter.field_value(F.col("r"), "employee_count")).collect()] == ["12", "12", "12", None, None, None, None, None]
+    jobs = ['{"company": "A", "is_remote": "yes"}', '{"company": "A", "title": null, "location": "X"}', '{"company": "A", "title": 7}', '{"company": "A", "is_remote": "perhaps"}', '{"company": "A", "is_remote": null}', '{"company": 5}', '{"company": "' + "x" * 101 + '"}']
+    got = [r[0] and (r[0].is_remote, r[0].location) for r in spark.createDataFrame([(j,) for j in jobs], "r string").select(arbiter.hiring_extraction(F.col("r"))).collect()]
+    assert got == [(True, None), (False, "X"), None, None, None, None, None]
+
+
 def test_extractions(spark):
     rows = spark.createDataFrame([("<p>team of 12</p>" + "x" * 30, None), ("y" * 40, 5), (None, None)], "html string, employee_count int")
     got = arbiter.fill_field(rows, "employee_count", "html", lambda s, u: '{"employee_count": 12}').collect()
