@@ -59,11 +59,11 @@ def stream_page_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_first_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Every host once, with the time of its first page, from state that is kept for ever."""
-    host = F.regexp_extract("url", "^https?://([^/:?#]+)", 1)
-    rows = catalog._stream(spark, sf, "pages").select(host.alias("host"), F.timestamp_seconds(F.col("page_id")).alias("at"))
-    out = catalog.streamed(spark, streams.stream_first_seen(rows, "host", "at"))
-    return out.select(F.col("url").alias("host"), F.unix_timestamp("first_seen_at").alias("first_page"))
+    """Every address (a URL without its query and fragment) once, with the time of its first page, from state that is kept for ever."""
+    address = F.regexp_replace("url", "[?#].*$", "")
+    rows = catalog._stream(spark, sf, "pages").select(address.alias("address"), F.timestamp_seconds(F.col("page_id")).alias("at"))
+    out = catalog.streamed(spark, streams.stream_first_seen(rows, "address", "at"))
+    return out.select(F.col("url").alias("address"), F.unix_timestamp("first_seen_at").alias("first_page"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -86,7 +86,7 @@ def oracle_sql() -> dict[str, str]:
 
     return {
         "stream_page_urls": "SELECT url, min(page_id) AS first_page FROM pages WHERE url IS NOT NULL GROUP BY 1",
-        "stream_first_pages": "SELECT regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, min(page_id) AS first_page FROM pages WHERE url IS NOT NULL GROUP BY 1",
+        "stream_first_pages": "SELECT regexp_replace(url, '[?#].*$', '') AS address, min(page_id) AS first_page FROM pages WHERE url IS NOT NULL GROUP BY 1",
         "near_titles": f"""WITH RECURSIVE {titles}, {blocks}, {scored(98)},
             l AS (SELECT a, b FROM r WHERE token_sort >= 98 AND ratio >= 98), d AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
             w(id, o) AS (SELECT id, id FROM u UNION SELECT w.id, d.b FROM w JOIN d ON d.a = w.o),

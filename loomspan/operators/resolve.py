@@ -17,6 +17,8 @@ from loomspan.sources.seed import seed_lookup
 #: Prefix blocks with more members are skipped; key and word blocks never are.
 MAX_PREFIX_BLOCK = 500
 CONFIDENT, BORDERLINE = 98.0, 75.0
+#: Blocks with more members are frequent where pairs are counted.
+FREQUENT_BLOCK = 128
 #: Names in one piece of a listing of variants.
 RUN = 4096
 #: A decision links two names from this score on and below CONFIDENT.
@@ -294,37 +296,51 @@ def variant_clusters(log: DataFrame, most: int = 20) -> DataFrame:
     return winners.join(listed, "canonical_name").select("canonical_name", "variant_count", "variants").orderBy(F.desc("variant_count"), "canonical_name")
 
 
-def pair_count(index: DataFrame, most_keys: int = 10) -> DataFrame:
-    """One row, ``pairs``: how many pairs of entities share a block of the index (block_key, entity_id), without making them.
+def pair_count(index: DataFrame, frequent: int = FREQUENT_BLOCK, most_keys: int = 12) -> DataFrame:
+    """One row, ``pairs``: how many pairs of entities share a block of the index (block_key, entity_id), without making those of large blocks.
 
-    By inclusion and exclusion: a set S of blocks that n entities have in common
-    holds n(n-1)/2 pairs, which count for an odd S and against an even one. Blocks
-    of one entity are left out and entities with the same blocks are taken
-    together, so work grows with the different sets of blocks times two to the
-    number of blocks in each. Entities with more than ``most_keys`` such blocks
-    are joined instead, each pair being counted at the first block that it shares.
+    Pairs that share a frequent block (more members than that) are counted by
+    inclusion and exclusion: a set S of frequent blocks that n entities have in
+    common holds n(n-1)/2 pairs, which count for an odd S and against an even
+    one. The other pairs share small blocks alone; they are joined, each met at the
+    first block that it shares, so an entity meets a bounded number of others in
+    each block. Blocks of one entity are left out, and entities with the same blocks
+    are taken together. Work grows with the entities times two to the number of
+    frequent blocks in each; entities with more than ``most_keys`` of them are
+    joined with all others that share a block.
     """
     scratch = Scratch(index.sparkSession, "pair_count")
-    shared = index.groupBy("block_key").agg(F.count("*").alias("n")).where("n > 1").select("block_key")
-    sets = index.join(shared, "block_key").groupBy("entity_id").agg(F.array_sort(F.collect_set("block_key")).alias("keys"))
-    sets = scratch.keep(sets.groupBy("keys").agg(F.count("*").cast("decimal(20,0)").alias("n")).withColumn("size", F.size("keys")))
+    shared = index.groupBy("block_key").agg(F.count("*").alias("n")).where("n > 1").select("block_key", (F.col("n") > frequent).alias("large"))
+
+    def keys(large: bool) -> Column:
+        return F.array_sort(F.collect_set(F.when(F.col("large") == large, F.col("block_key"))))
+
+    sets = index.join(shared, "block_key").groupBy("entity_id").agg(keys(True).alias("hot"), keys(False).alias("cold"))
+    sets = scratch.keep(sets.groupBy("hot", "cold").agg(F.count("*").cast("decimal(20,0)").alias("n")).withColumn("size", F.size("hot")))
     few, many = sets.where(F.col("size") <= most_keys), sets.where(F.col("size") > most_keys)
-    chosen = few.withColumn("mask", F.explode(F.expr("sequence(1, shiftleft(1, size) - 1)")))
-    subset = chosen.select("n", F.expr("filter(keys, (k, i) -> getbit(mask, i) = 1)").alias("s"))
-    # 96 bits stand for a set of blocks
-    counts = subset.groupBy(F.xxhash64("s").alias("h"), F.hash("s").alias("g")).agg(F.sum("n").alias("n"), F.max(F.size("s")).alias("size"))
 
     def inside(n: Column) -> Column:
         return (n * (n - 1) / 2).cast("decimal(38,0)")
 
-    parts = counts.select(F.when(F.col("size") % 2 == 1, inside(F.col("n"))).otherwise(-inside(F.col("n"))).alias("pairs"))
+    chosen = few.groupBy("hot", "size").agg(F.sum("n").alias("n")).where("size > 0").withColumn("mask", F.explode(F.expr("sequence(1, shiftleft(1, size) - 1)")))
+    subset = chosen.select("n", F.expr("filter(hot, (k, i) -> getbit(mask, i) = 1)").alias("s"))
+    # 96 bits stand for a set of blocks
+    counts = subset.groupBy(F.xxhash64("s").alias("h"), F.hash("s").alias("g")).agg(F.sum("n").alias("n"), F.max(F.size("s")).alias("of"))
+    parts = counts.select(F.when(F.col("of") % 2 == 1, inside(F.col("n"))).otherwise(-inside(F.col("n"))).alias("pairs"))
+
+    def met(left: DataFrame, right: DataFrame, column: str, also: Column) -> DataFrame:
+        """The pairs of two different sets at the first element of the column that they share."""
+        x, y = (rows.withColumn("key", F.explode(column)).alias(name) for rows, name in ((left, "x"), (right, "y")))
+        first = F.get(F.array_intersect(f"x.{column}", f"y.{column}"), F.lit(0)) == F.col("x.key")
+        return x.join(y, (F.col("x.key") == F.col("y.key")) & also & first).select((F.col("x.n") * F.col("y.n")).cast("decimal(38,0)").alias("pairs"))
+
+    earlier = F.struct("x.hot", "x.cold") < F.struct("y.hot", "y.cold")
+    parts = parts.unionByName(met(few, few, "cold", earlier & ~F.arrays_overlap("x.hot", "y.hot")))
+    # entities with the same small blocks and no frequent one
+    parts = parts.unionByName(few.where("size = 0").select(inside(F.col("n")).alias("pairs")))
     if not many.isEmpty():
-        long = many.select("keys", "n", F.explode("keys").alias("key")).alias("x")
-        others = sets.select("keys", "n", "size", F.explode("keys").alias("key")).alias("y")
-        first = F.get(F.array_intersect("x.keys", "y.keys"), F.lit(0)) == F.col("x.key")
-        # of two long ones each pair once
-        met = long.join(others, (F.col("x.key") == F.col("y.key")) & first & ((F.col("y.size") <= most_keys) | (F.col("x.keys") < F.col("y.keys"))))
-        parts = parts.unionByName(met.select((F.col("x.n") * F.col("y.n")).cast("decimal(38,0)").alias("pairs"))).unionByName(many.select(inside(F.col("n")).alias("pairs")))
+        each = sets.withColumn("keys", F.concat("hot", "cold"))
+        parts = parts.unionByName(met(each.where(F.col("size") > most_keys), each, "keys", (F.col("y.size") <= most_keys) | earlier)).unionByName(many.select(inside(F.col("n")).alias("pairs")))
     return parts.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("pairs"))
 
 

@@ -61,7 +61,10 @@ def stream_first_seen(events: DataFrame, url: str, seen_at: str) -> DataFrame:
     once a task however often a batch holds it. Rows without a URL or a time are
     left out. Sets the session's state store to RocksDB, which this state needs.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    conf = events.sparkSession.conf
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    # a batch writes its changes, not the whole state
+    conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     rows = events.select(F.col(url).cast("string").alias("url"), F.col(seen_at).cast("timestamp").alias("seen_at")).where("url is not null and seen_at is not null")
     folded = rows.mapInArrow(_least_times, "url string, seen_at timestamp")
     return folded.groupBy("url").transformWithStateInPandas(FirstSeen(), "url string, first_seen_at timestamp", "Append", "None")

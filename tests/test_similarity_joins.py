@@ -128,16 +128,16 @@ def test_borderline_pairs_against_all_pairs(spark):
     assert "block_key" not in plan
 
 
-@pytest.mark.parametrize("most", [10, 2, 0])
-def test_pairs_are_counted_without_being_made(spark, most):
-    rng = random.Random(most)
+@pytest.mark.parametrize("frequent,most", [(1000, 12), (5, 12), (5, 2), (0, 0), (20, 3)])
+def test_pairs_are_counted_without_being_made(spark, frequent, most):
+    rng = random.Random(frequent + most)
     rows = [(i, f"k{k}") for i in range(120) for k in rng.sample(range(25), rng.choice([0, 1, 1, 3, 6]))]
     rows += [(i + 500, f"k{k}") for i, k in rows if i < 20]  # the same blocks again
     members = {}
     for i, k in rows:
         members.setdefault(k, []).append(i)
     want = len({p for m in members.values() for p in itertools.combinations(sorted(m), 2)})
-    got = resolve.pair_count(spark.createDataFrame([(k, i) for i, k in rows], "block_key string, entity_id long"), most)
+    got = resolve.pair_count(spark.createDataFrame([(k, i) for i, k in rows], "block_key string, entity_id long"), frequent, most)
     assert got.collect()[0].pairs == want
     assert resolve.pair_count(spark.createDataFrame([], "block_key string, entity_id long")).collect()[0].pairs == 0
 
