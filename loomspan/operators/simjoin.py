@@ -26,14 +26,14 @@ TILE = 1024
 
 def bag(text: Column) -> Column:
     """How often a text's characters fall into 16 classes, each count modulo 16, in the bits of one long."""
-    shifts = F.transform(F.split(text, ""), lambda c: F.when(c == "", F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(c), F.lit(16))))
 
-    def count(k: int) -> Column:
-        shifted = F.lit(k).cast("long")
-        return F.shiftleft((F.size(F.filter(shifts, lambda s: s == shifted)) % 16).cast("long"), 4 * k)
+    def add(counts: Column, c: Column) -> Column:
+        place = (F.pmod(F.xxhash64(c), F.lit(16)) * 4).cast("int")
+        own = F.call_function("shiftleft", F.lit(15).cast("long"), place)
+        more = (counts + F.call_function("shiftleft", F.lit(1).cast("long"), place)).bitwiseAND(own)
+        return F.when(c == "", counts).otherwise(counts.bitwiseAND(F.bitwise_not(own)).bitwiseOR(more))
 
-    # the empty pieces that split leaves are the same number for all texts
-    return reduce(lambda x, y: x.bitwiseOR(y), [count(k) for k in range(16)])
+    return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), add)
 
 
 def bags_apart(a: Column, b: Column) -> Column:
