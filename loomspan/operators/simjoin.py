@@ -29,9 +29,13 @@ def bag(text: Column) -> Column:
 
     def add(counts: Column, c: Column) -> Column:
         place = (F.pmod(F.xxhash64(c), F.lit(16)) * 4).cast("int")
-        own = F.call_function("shiftleft", F.lit(15).cast("long"), place)
-        more = (counts + F.call_function("shiftleft", F.lit(1).cast("long"), place)).bitwiseAND(own)
-        return F.when(c == "", counts).otherwise(counts.bitwiseAND(F.bitwise_not(own)).bitwiseOR(more))
+
+        def moved(value: Column) -> Column:
+            return F.call_function("shiftleft", value, place)
+
+        # the class's own count goes up by itself: the highest one would carry out of the long
+        own = (F.call_function("shiftrightunsigned", counts, place).bitwiseAND(F.lit(15)) + 1).bitwiseAND(F.lit(15).cast("long"))
+        return F.when(c == "", counts).otherwise(counts.bitwiseAND(F.bitwise_not(moved(F.lit(15).cast("long")))).bitwiseOR(moved(own)))
 
     return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), add)
 

@@ -70,6 +70,14 @@ def test_bags_never_exceed_the_distance(spark):
     assert all(r.apart <= len(texts[r.id_a]) + len(texts[r.id_b]) - 2 * _lcs(texts[r.id_a], texts[r.id_b]) for r in pairs)
 
 
+def test_bags_of_any_character(spark):
+    """Every class is filled and wraps, the highest included."""
+    letters = [chr(i) for i in range(32, 127)] + ["é", "語"]
+    rows = spark.createDataFrame([(c, n) for c in letters for n in (1, 8, 15, 16, 40)], "c string, n int").withColumn("bag", simjoin.bag(F.expr("repeat(c, n)")))
+    got = rows.withColumn("k", F.pmod(F.xxhash64("c"), F.lit(16)).cast("int")).collect()
+    assert {r.k for r in got} >= {0, 15} and all((r.bag >> 4 * r.k) & 15 == r.n % 16 and r.bag & ~(15 << 4 * r.k) & ((1 << 64) - 1) == 0 for r in got)
+
+
 def test_common_subsequences_in_bits():
     rng = random.Random(2)
     texts = ["".join(rng.choice("abcé ") for _ in range(n)) for n in (0, 1, 5, 63, 64, 65, 130, 200)]
