@@ -16,7 +16,9 @@ to fixed counts whatever the corpus, so the tree grows with it. A state's smooth
 probability is its suffix's times a factor: the log of a text's probability is the
 root's plus the logs of these factors over all stored (context, next symbol) pairs
 that the text holds. The most frequent of them are sent to all tasks, up to a
-bound; the text's others are found by a join.
+bound; the text's others are found by a join. Contexts are numbered and held by all
+tasks as long as there are not too many of them; beyond that the same tree is
+learned with contexts in tables, under hashes, and joins (``learn_spread``).
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ class Settings(NamedTuple):
     min_divergence: float = 0.01
     #: Discount of every stored count, given to the suffix's distribution.
     discount: float = 0.75
-    #: Symbols, and contexts of a length, that tasks hold at most; with more of them their least count doubles until they fit.
+    #: Symbols, and contexts of a length, that tasks hold at most; with more of them contexts stay in tables, and symbols beyond are joined.
     max_symbols: int = 1 << 22
     max_contexts: int = 1 << 22
     #: Pairs that tasks hold at most, the most frequent ones; the others are joined.
@@ -119,6 +121,12 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return out
 
 
+def maybe(filter_: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    """Which keys the filter does not rule out."""
+    slot = slots_of(keys, bits)
+    return (filter_[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 def symbols_of(laid: Laid, symbols: np.ndarray) -> np.ndarray:
     at = find(symbols, laid.hashes)
     return np.where((at >= 0) & (laid.classes >= 2), at + FIRST, laid.classes)
@@ -282,8 +290,8 @@ class Tree(NamedTuple):
     filter: np.ndarray | None
     bits: int
 
-    def score(self, laid: Laid) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(log10 of every token's probability over the root's, as far as held; places and packed pairs that may be in the joined table)."""
+    def score(self, laid: Laid, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log10 of every token's probability over the root's, as far as held; places and packed pairs that may be in the joined table). more is empty: all symbols are held."""
         out = np.zeros(len(laid.place))
         places, open_ = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         symbols = symbols_of(laid, self.symbols)
@@ -301,10 +309,9 @@ class Tree(NamedTuple):
             if self.filter is not None:
                 rest = level.is_state[context] & ~hit
                 missed, tagged = at[rest], pairs[rest] | (d << LEVEL_BITS)
-                slot = slots_of(tagged, self.bits)
-                maybe = (self.filter[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-                places.append(missed[maybe])
-                open_.append(tagged[maybe])
+                may = maybe(self.filter, self.bits, tagged)
+                places.append(missed[may])
+                open_.append(tagged[may])
             numbers = np.full(len(symbols) + 1, -1, dtype=np.int64)
             numbers[at[known] + 1] = level.numbers[found[known]]
         return out, np.concatenate(places), np.concatenate(open_)
@@ -371,28 +378,208 @@ def diverging(rows: DataFrame, least: float) -> DataFrame:
     return found.where(kl - F.col("k") / (2 * F.col("total")) >= least).select("context")
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashed(laid: Laid, symbols: np.ndarray, more: np.ndarray, longest: int) -> list[np.ndarray]:
+    """For each length k up to the longest: a hash of the k symbols that end at each token, wherever its text has so many."""
+    is_symbol = (find(symbols, laid.hashes) >= 0) | (find(more, laid.hashes) >= 0)
+    mixed = mix64(np.where(is_symbol & (laid.classes >= 2), laid.hashes, laid.classes).view(np.uint64))
+    out = [np.zeros(len(mixed), dtype=np.uint64)]
+    for k in range(1, longest + 1):
+        out.append(mix64(np.append(np.uint64(0), out[-1][:-1]) * _STEP + mixed + np.uint64(k)))
+    return [x.view(np.int64) for x in out]
+
+
+class Spread(NamedTuple):
+    """A tree whose contexts are known by hashes: some weights are held, the others are in a table behind a filter.
+
+    A pair's key is the hash of its context and next symbol, a state's is the
+    complement of its hash. Weights are the log10 factors of pairs and the log10
+    shares of states for symbols that they do not store.
+    """
+
+    symbols: np.ndarray
+    keys: np.ndarray
+    weights: np.ndarray
+    filter: np.ndarray
+    bits: int
+    depth: int
+
+    def score(self, laid: Laid, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``Tree.score``, with keys for packed pairs; more are the symbols in these texts that are not held."""
+        out = np.zeros(len(laid.place))
+        places, open_ = [], []
+        ends = hashed(laid, self.symbols, more, self.depth + 1)
+        for d in range(1, self.depth + 1):
+            at = np.flatnonzero(laid.place >= d)
+            for keys in (ends[d + 1][at], ~ends[d][at - 1]):
+                found = find(self.keys, keys)
+                hit = found >= 0
+                out[at[hit]] += self.weights[found[hit]]
+                missed, rest = at[~hit], keys[~hit]
+                may = maybe(self.filter, self.bits, rest)
+                places.append(missed[may])
+                open_.append(rest[may])
+        return out, np.concatenate(places), np.concatenate(open_)
+
+
+def _more(batch: pa.RecordBatch) -> np.ndarray:
+    """The symbols that tasks do not hold, in the texts of a batch (see ``marked``)."""
+    if "more" not in batch.schema.names:
+        return np.empty(0, np.int64)
+    return np.unique(batch.column("more").flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def marked(docs: DataFrame, counts: DataFrame, scratch: Scratch, s: Settings) -> DataFrame:
+    """docs; where there are more symbols than tasks hold, with ``more``, the text's symbols among those that are not held."""
+    words = counts.where(F.col("h") != _END_HASH)
+    least = fitting(words, "c", s.min_symbol, s.max_symbols)
+    if least == s.min_symbol:
+        return docs
+    rows = scratch.keep(docs.withColumn("place", F.monotonically_increasing_id()))
+    shared = docs.sparkSession.sparkContext.broadcast(collected(words.where(F.col("c") >= least), "h")[0])
+
+    def run(batches):
+        for batch, laid in _chunks(batches):
+            text = np.repeat(np.arange(batch.num_rows), np.diff(np.append(laid.first, len(laid.place))))
+            open_ = np.flatnonzero((laid.classes >= 2) & (find(shared.value, laid.hashes) < 0))
+            order = open_[np.lexsort((laid.hashes[open_], text[open_]))]
+            t, h = text[order], laid.hashes[order]
+            new = np.concatenate([[True], (t[1:] != t[:-1]) | (h[1:] != h[:-1])])[: len(t)]
+            yield _arrays("place h", np.asarray(batch.column("place"))[t[new]], h[new])
+
+    rest = words.where((F.col("c") >= s.min_symbol) & (F.col("c") < least)).select("h")
+    found = _rows(rows, "place").mapInArrow(run, "place bigint, h bigint").join(rest, "h").groupBy("place").agg(F.collect_set("h").alias("more"))
+    return scratch.keep(rows.join(found, "place", "left").drop("place"))
+
+
+def count_spread(train: DataFrame, symbols: np.ndarray, level: int, filter_: np.ndarray | None, bits: int) -> DataFrame:
+    """(pair, context, above, up, n): hashes of each context of so many symbols with its next symbol, of the context, and of both without their first symbol, with counts.
+
+    Contexts that the filter rules out are left out; length 0 counts the symbols.
+    """
+    shared = train.sparkSession.sparkContext.broadcast((symbols, filter_))
+
+    def run(batches):
+        symbols, filter_ = shared.value
+        held: list[np.ndarray] = []
+
+        def out():
+            rows = np.concatenate(held)
+            pairs, at, counts = np.unique(rows[:, 0], return_index=True, return_counts=True)
+            return _arrays("pair context above up n", pairs, *rows[at, 1:].T, counts.astype(np.int64))
+
+        for batch, laid in _chunks(batches):
+            ends = hashed(laid, symbols, _more(batch), level + 1)
+            at = np.flatnonzero(laid.place >= level)
+            if level:
+                at = at[maybe(filter_, bits, ends[level][at - 1])]
+                held.append(np.stack([ends[level + 1][at], ends[level][at - 1], ends[level][at], ends[level - 1][at - 1]], axis=1))
+            else:
+                held.append(np.stack([ends[1], ends[0], ends[0], ends[0]], axis=1))
+            if sum(map(len, held)) > 2_000_000:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    found = _rows(train, *[c for c in train.columns if c == "more"]).mapInArrow(run, "pair bigint, context bigint, above bigint, up bigint, n bigint")
+    return found.groupBy("pair").agg(*[F.max(c).alias(c) for c in ("context", "above", "up")], F.sum("n").alias("n"))
+
+
+def learn_spread(train: DataFrame, counts: DataFrame, base: int, scratch: Scratch, s: Settings) -> tuple[Spread, DataFrame]:
+    """(tree, (pair, factor) of the keys whose weights are not in it), for any number of symbols and contexts.
+
+    The tree is that of ``learn``. A context's count is that of the pair of its
+    last symbol and what precedes that, and the suffix of a pair is a pair of the
+    length below, so each length is a few joins with the one below it. A filter
+    in the tasks leaves out most contexts that are not frequent before they are counted.
+    """
+    words = counts.where(F.col("h") != _END_HASH)
+    symbols = collected(words.where(F.col("c") >= fitting(words, "c", s.min_symbol, s.max_symbols)), "h")[0]
+    # a class has an unseen token's share and one more for each of its words, any other symbol one more
+    shares = [(row["k"], row["m"] + 1 / CLASSES) for row in words.where(F.col("c") < s.min_symbol).groupBy("k").agg(F.count("*").alias("m")).collect()]
+    keys = mix64(mix64(np.array([k for k, _ in shares], dtype=np.uint64)) + np.uint64(1)).view(np.int64)
+    classes = train.sparkSession.createDataFrame([(int(k), float(m)) for k, (_, m) in zip(keys, shares, strict=True)], "pair long, share double")
+    level_0 = count_spread(train, symbols, 0, None, 0).join(F.broadcast(classes), "pair", "left")
+    pairs = scratch.keep(level_0.select("pair", "n", ((F.col("n") + F.coalesce("share", F.lit(1.0))) / base).alias("p")))
+    roots, stored, contexts = pairs, [], []
+    for level in range(1, s.depth + 1):
+        frequent = scratch.keep(pairs.where(F.col("n") >= s.min_context).select("pair", F.col("n").alias("total")))
+        filter_, bits = filter_of(frequent, frequent.count(), s.filter_bits)
+        counted = count_spread(train, symbols, level, filter_, bits).where(F.col("n") >= s.min_pair)
+        pairs = scratch.keep(counted.join(frequent.withColumnRenamed("pair", "context"), "context"))
+        stored.append(pairs)
+        by_context = pairs.groupBy("context").agg(F.max("up").alias("up"), F.sum("n").alias("s"), F.count("*").alias("k"))
+        contexts.append(scratch.keep(by_context))
+
+    def over(level: int, below: DataFrame, *columns: Column) -> DataFrame:
+        """The stored pairs of a length with columns of their suffixes."""
+        return stored[level - 1].join(below.select(F.col("pair").alias("above"), *columns), "above")
+
+    # states: what diverges, and the suffixes of states
+    states: list[DataFrame] = []
+    for level in range(s.depth, 0, -1):
+        q = F.col("p").alias("q") if level == 1 else (F.col("n") / F.col("total")).alias("q")
+        found = diverging(over(level, roots if level == 1 else stored[level - 2], q), s.min_divergence)
+        if states:
+            found = found.unionByName(contexts[level].join(states[0], "context").select(F.col("up").alias("context")))
+        states.insert(0, scratch.keep(found.distinct()))
+
+    weights, below = None, roots
+    for level in range(1, s.depth + 1):
+        rows = over(level, below, F.col("p").alias("p_above")).join(contexts[level - 1].drop("up").join(states[level - 1], "context"), "context")
+        rows = rows.withColumn("rest", (F.col("total") - F.col("s") + s.discount * F.col("k")) / F.col("total"))
+        p = (F.col("n") - s.discount) / F.col("total") + F.col("rest") * F.col("p_above")
+        factor = F.log10(p / (F.col("rest") * F.col("p_above")))
+        below = scratch.keep(rows.select("pair", "context", "n", "total", F.log10("rest").alias("share"), p.alias("p"), factor.alias("factor")))
+        shares = below.groupBy(F.bitwise_not("context").alias("pair")).agg(F.max("total").alias("n"), F.max("share").alias("factor"))
+        both = below.select("pair", "n", "factor").unionByName(shares)
+        weights = both if weights is None else weights.unionByName(both)
+    weights = scratch.keep(weights)
+    least = fitting(weights, "n", 1, s.held_pairs)
+    held, factors = collected(weights.where(F.col("n") >= least), "pair", "factor")
+    tail = scratch.keep(weights.where(F.col("n") < least).select("pair", "factor"))
+    return Spread(symbols, held, factors, *filter_of(tail, tail.count(), s.filter_bits), s.depth), tail
+
+
 class Model(NamedTuple):
-    tree: Tree
+    tree: Tree | Spread
     known: np.ndarray  # hashes of the tokens whose counts tasks hold
     counts: np.ndarray
     n: int
     v: int
 
 
-def learn(train: DataFrame, scratch: Scratch, s: Settings = DEFAULTS) -> tuple[Model, DataFrame, DataFrame | None]:
-    """(model, (h, c) counts of the tokens that are not in it, (pair, factor) of the pairs that are not in it or None) from all training texts."""
-    counts = scratch.keep(count_tokens(train))
+def learn(train: DataFrame, scratch: Scratch, s: Settings = DEFAULTS, counts: DataFrame | None = None) -> tuple[Model, DataFrame, DataFrame | None]:
+    """(model, (h, c) counts of the tokens that are not in it, (pair, factor) of the pairs that are not in it or None) from all training texts.
+
+    With counts, their token counts, the texts are marked already (see ``marked``).
+    """
+    if counts is None:
+        counts = scratch.keep(count_tokens(train))
+        train = marked(train, counts, scratch, s)
     seen = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.max(F.when(F.col("h") == _END_HASH, F.col("c"))).alias("texts")).first()
     n, v, texts = int(seen["n"]), int(seen["v"]), int(seen["texts"] or 0)
     base = n + v + 1
+    known_from = math.ceil(max(1, s.known_share * n))
+    known, known_counts = collected(counts.where(F.col("c") >= known_from), "h", "c")
+    rare = counts.where(F.col("c") < known_from).select("h", "c")
+
+    def spread() -> tuple[Model, DataFrame, DataFrame | None]:
+        tree, tail = learn_spread(train, counts, base, scratch, s)
+        return Model(tree, known, known_counts, n, v), rare, tail
+
+    if "more" in train.columns:
+        return spread()
     words = counts.where(F.col("h") != _END_HASH)
-    least_symbol = fitting(words, "c", s.min_symbol, s.max_symbols)
-    symbols, symbol_counts = collected(words.where(F.col("c") >= least_symbol), "h", "c")
+    symbols, symbol_counts = collected(words.where(F.col("c") >= s.min_symbol), "h", "c")
     totals = np.zeros(FIRST + len(symbols), dtype=np.int64)
     root = np.full(len(totals), 1e-300)
     # the classes have the rest of the add-one mass, and one unseen token's between them
     root[2:FIRST] = 1 / CLASSES / base
-    for row in words.where(F.col("c") < least_symbol).groupBy("k").agg(F.sum("c").alias("c"), F.count("*").alias("m")).collect():
+    for row in words.where(F.col("c") < s.min_symbol).groupBy("k").agg(F.sum("c").alias("c"), F.count("*").alias("m")).collect():
         totals[row["k"]] = row["c"]
         root[row["k"]] += (row["c"] + row["m"]) / base
     totals[START], totals[FIRST:] = texts, symbol_counts
@@ -401,16 +588,16 @@ def learn(train: DataFrame, scratch: Scratch, s: Settings = DEFAULTS) -> tuple[M
     # the contexts of each length, from the pairs of the length below
     frequent: list[np.ndarray] = []
     sums, suffixes, tables = [totals], [np.zeros(len(totals), np.int64)], []
-    least_context = s.min_context
     for level in range(1, max(2, s.depth)):
         beyond = level == s.depth - 1
-        counted = scratch.keep(count_pairs(train, symbols, totals, frequent, least_context, beyond).where(F.col("n") >= s.min_pair))
+        counted = scratch.keep(count_pairs(train, symbols, totals, frequent, s.min_context, beyond).where(F.col("n") >= s.min_pair))
         tables.append(counted.where("symbol < 0").select("pair", "n"))
         if level == s.depth:
             break
-        inner = tables[-1].where(F.col("pair").bitwiseAND(F.lit(_MASK)) != END)
-        least_context = fitting(inner, "n", least_context, s.max_contexts)
-        pairs, pair_counts = collected(inner.where(F.col("n") >= least_context), "pair", "n")
+        inner = tables[-1].where((F.col("pair").bitwiseAND(F.lit(_MASK)) != END) & (F.col("n") >= s.min_context))
+        if inner.count() > s.max_contexts:
+            return spread()
+        pairs, pair_counts = collected(inner, "pair", "n")
         if not len(pairs):
             break
         frequent.append(pairs)
@@ -465,9 +652,7 @@ def learn(train: DataFrame, scratch: Scratch, s: Settings = DEFAULTS) -> tuple[M
     inner = [*frequent, np.empty(0, np.int64)]
     levels = [level_of(pairs[of == d] & ((1 << LEVEL_BITS) - 1), held[of == d], inner[d - 1], states[d - 1], rests[d - 1]) for d in range(1, len(tables) + 1)]
     tree = Tree(symbols, levels, filter_, bits)
-    known_from = math.ceil(max(1, s.known_share * n))
-    known, known_counts = collected(counts.where(F.col("c") >= known_from), "h", "c")
-    return Model(tree, known, known_counts, n, v), counts.where(F.col("c") < known_from).select("h", "c"), tail
+    return Model(tree, known, known_counts, n, v), rare, tail
 
 
 _SCORED = "row bigint, doc_id bigint, held_out boolean, kind int, key bigint, times bigint, n_tokens bigint, n_known bigint, base double, score double"
@@ -507,7 +692,7 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, tail: DataFrame | None
             hit = token & (at >= 0)
             base = np.zeros(len(at))
             base[hit] = logs[at[hit]]
-            ratio, places, pairs = model.tree.score(laid)
+            ratio, places, pairs = model.tree.score(laid, _more(batch))
             ids = row + np.arange(batch.num_rows)
             row += batch.num_rows
             text = np.repeat(np.arange(batch.num_rows), np.diff(np.append(laid.first, len(at))))
@@ -523,7 +708,7 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, tail: DataFrame | None
                     columns = [pa.array(ids[found[0]]), nil.cast(pa.int64()), nil.cast(pa.bool_()), pa.array(np.full(len(none), kind, np.int32)), pa.array(found[1]), pa.array(found[2]), *whole]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select("doc_id", "held_out", F.col("text").cast("binary").alias("text")).mapInArrow(run, _SCORED)
+    rows = _rows(docs, *[c for c in docs.columns if c != "text"]).mapInArrow(run, _SCORED)
     values = rare.select(F.lit(1).alias("kind"), F.col("h").alias("key"), "c", F.lit(0.0).alias("factor"))
     if tail is not None:
         values = values.unionByName(tail.select(F.lit(2).alias("kind"), F.col("pair").alias("key"), F.lit(0).cast("long").alias("c"), "factor"))
@@ -558,7 +743,9 @@ def query(docs: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     held_out = F.coalesce(id_residue(F.col("doc_id"), 7) == 2, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
     scratch = Scratch(docs.sparkSession, "suffixlm")
-    model, rare, tail = learn(rows.where("not held_out"), scratch, settings)
+    counts = scratch.keep(count_tokens(rows.where("not held_out")))
+    rows = marked(rows, counts, scratch, settings)
+    model, rare, tail = learn(rows.where("not held_out"), scratch, settings, counts)
     return score(rows, model, rare, tail).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -556,6 +556,15 @@ def test_scores_against_a_tree_by_hand(spark, sf_dir, limits):
         assert r.score == pytest.approx(tree.score(texts[r.doc_id]), rel=1e-6)
 
 
+def test_a_tree_that_tasks_cannot_hold_is_whole(spark, sf_dir):
+    """With fewer symbols, contexts and pairs held than there are the scores stay those of the whole tree."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 100 and length(text) < 20000")
+    whole = {r.doc_id: r.score for r in suffixlm.query(docs, SMALL).collect()}
+    for limits in ({"max_contexts": 3}, {"max_symbols": 10, "max_contexts": 0, "held_pairs": 0, "filter_bits": 8}):
+        got = suffixlm.query(docs, SMALL._replace(**limits)).collect()
+        assert {r.doc_id: r.score for r in got} == pytest.approx(whole, rel=1e-9)
+
+
 def test_next_symbol_probabilities_sum_to_one(spark, sf_dir):
     texts = [tokens_by_hand(r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
     tree = TreeByHand(texts, SMALL)
